@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lastword import model, settings as S
 from lastword.functions import instants
@@ -42,12 +42,19 @@ def is_collection(entity_type: Column) -> Column:
     return entity_type.isin(*S.COLLECTIONS)
 
 
-def lifecycle_reason(event: dict[str, Column]) -> Column:
-    """The checks that tie type, id, operation, revision and state together."""
+def lifecycle_reason(event: dict[str, Column], record_id: Column | None = None,
+                     marker_id: Column | None = None) -> Column:
+    """The checks that tie type, id, operation, revision and state together.
+
+    A caller that has already matched the parts of the id passes what it found.
+    """
     kind, ident, op = event["entity_type"], event["entity_id"], event["event_type"]
+    if record_id is None:
+        record_id = full_match(ident, f"{S.DID_PATTERN}/{S.RECORD_KEY_PATTERN}")
+    if marker_id is None:
+        marker_id = full_match(ident, S.DID_PATTERN)
     record = first_reason([
-        (full_match(ident, f"{S.DID_PATTERN}/{S.RECORD_KEY_PATTERN}"),
-         "record entity_id must be did/rkey"),
+        (record_id, "record entity_id must be did/rkey"),
         (op.isin(*S.OPERATIONS), "event_type must be create, update or delete"),
         (event["state"] == F.when(op == "delete", F.lit("deleted")).otherwise(F.lit("active")),
          "state must follow event_type"),
@@ -57,7 +64,7 @@ def lifecycle_reason(event: dict[str, Column]) -> Column:
         (kind.isin(S.ACCOUNT, S.SYNC),
          "entity_type must be a subscribed collection, account or sync"),
         (kind == op, "event_type must equal entity_type for account markers"),
-        (full_match(ident, S.DID_PATTERN), "entity_id must be a DID"),
+        (marker_id, "entity_id must be a DID"),
         (event["revision"] == padded(event["source_seq"]),
          "revision must be the zero-padded source_seq"),
         ((kind != S.SYNC) | (event["state"] == "resynced"), "sync state must be resynced"),
@@ -98,21 +105,35 @@ def event_json(prefix: str = "") -> Column:
                      {"ignoreNullFields": "false"})
 
 
-def parse_event(line: Column) -> Column:
-    """Struct(event, reason) of one contract line.
+def parse_lines(rows: DataFrame, line: str = "value") -> DataFrame:
+    """Adds the event fields of one contract line per row, and `reason` when it is no valid event.
 
     Trailing text, unknown fields and fractions are errors. The JSON reader stops at the end of
     the first value, so the line is read inside an array and inside an object: text that closes
     one of the two too early is an error in the other.
     """
-    one = model.EVENT.simpleString()
-    inside = F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<{one}>", _STRICT)
-    wrapped = F.from_json(F.concat(F.lit('{"w":'), line, F.lit("}")), f"struct<w:{one}>", _STRICT)
-    known = F.size(F.array_except(F.json_object_keys(line),
-                                  F.array(*map(F.lit, model.EVENT_FIELDS)))) == 0
-    event = F.try_element_at(inside, F.lit(1))
-    whole = (F.size(inside) == 1) & wrapped["w"].isNotNull() & event.isNotNull() & known
-    fields = {name: event[name] for name in model.EVENT_FIELDS}
-    return F.struct(event.alias("event"),
-                    F.when(~_holds(whole), F.lit(NOT_ONE_EVENT)).otherwise(reason(fields))
-                    .alias("reason"))
+    one, text = model.EVENT.simpleString(), F.col(line)
+    known = F.array(*map(F.lit, model.EVENT_FIELDS))
+    read = rows.withColumns({
+        "_inside": F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{one}>", _STRICT),
+        "_wrapped": F.from_json(F.concat(F.lit('{"w":'), text, F.lit("}")), f"struct<w:{one}>",
+                                _STRICT).getField("w").isNotNull(),
+        "_unknown": F.size(F.array_except(F.json_object_keys(text), known))})
+    event = F.try_element_at(F.col("_inside"), F.lit(1))
+    whole = ((F.size("_inside") == 1) & F.col("_wrapped") & event.isNotNull()
+             & (F.col("_unknown") == 0))
+    fields = read.withColumns({"_whole": _holds(whole),
+                               **{name: event[name] for name in model.EVENT_FIELDS}})
+    why = F.when(~F.col("_whole"), F.lit(NOT_ONE_EVENT)).otherwise(reason(columns()))
+    return sealed(fields.withColumn("reason", why)).drop("_inside", "_wrapped", "_unknown", "_whole")
+
+
+def sealed(rows: DataFrame) -> DataFrame:
+    """Keeps later filters above the computed columns of `rows`.
+
+    A filter on a computed column is pushed below its projection with a copy of the expression,
+    which for a JSON parse doubles the work. Below a row mark, which has no fixed value, it cannot
+    be pushed.
+    """
+    marked = rows.withColumn("_mark", F.monotonically_increasing_id())
+    return marked.filter(F.col("_mark") >= 0).drop("_mark")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# The common print is checked with one pattern and cut by position; other spellings of an instant
+# (lower case, offsets) take the slower way through capture groups.
+_PLAIN = r"\A\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{0,9})?Z\z"
 _SHAPE = (r"\A(\d{4}-\d{2}-\d{2})[Tt](\d{2}:\d{2}:\d{2})(?:\.(\d{0,9}))?"
           r"([Zz]|[+-]\d{2}:\d{2}(?::\d{2})?)\z")
 
@@ -21,19 +24,17 @@ def _shift_seconds(zone: Column) -> Column:
             .when(F.startswith(zone, F.lit("-")), -seconds).otherwise(seconds))
 
 
-def _local(text: Column) -> Column:
-    """Wall clock to the second, shifted to UTC; null when the text is no instant."""
-    clock = F.concat(_part(text, 1), F.lit(" "), _part(text, 2)).try_cast("timestamp_ntz")
-    zone = _part(text, 4)
-    shift = _shift_seconds(zone)
-    bounded = F.abs(shift) <= 18 * 3600
-    shifted = F.timestamp_add("SECOND", -shift, clock)
-    return F.when(text.rlike(_SHAPE),
-                  F.when(F.upper(zone) == "Z", clock).when(bounded, shifted))
+def _shifted(text: Column) -> Column:
+    """UTC time to the second of an instant in any spelling; null when the text is none."""
+    clock = F.concat(_part(text, 1), F.lit("T"), _part(text, 2), F.lit("Z")).try_cast("timestamp")
+    shift = _shift_seconds(_part(text, 4))
+    moved = F.timestamp_seconds(F.unix_seconds(clock) - shift)
+    return F.when(text.rlike(_SHAPE) & (F.abs(shift) <= 18 * 3600), moved)
 
 
 def is_instant(text: Column) -> Column:
-    return _local(text).isNotNull()
+    return F.when(text.rlike(_PLAIN), text.try_cast("timestamp").isNotNull()).otherwise(
+        F.coalesce(_shifted(text).isNotNull(), F.lit(False)))
 
 
 def _trimmed(nanos: Column) -> Column:
@@ -46,14 +47,19 @@ def _trimmed(nanos: Column) -> Column:
 
 def normal_instant(text: Column) -> Column:
     """The same instant in canonical UTC print, null when the text cannot be parsed."""
-    seconds = F.replace(_local(text).cast("string"), F.lit(" "), F.lit("T"))
-    return F.concat(seconds, _trimmed(F.rpad(_part(text, 3), 9, "0")), F.lit("Z"))
+    digits = F.rtrim(F.substring(text, 21, 10), F.lit("Z"))
+    plain = F.concat(F.substring(text, 1, 19), _trimmed(F.rpad(digits, 9, "0")), F.lit("Z"))
+    clock = F.replace(_shifted(text).cast("string"), F.lit(" "), F.lit("T"))
+    spelled = F.concat(clock, _trimmed(F.rpad(_part(text, 3), 9, "0")), F.lit("Z"))
+    return F.when(text.rlike(_PLAIN),
+                  F.when(text.try_cast("timestamp").isNotNull(), plain)).otherwise(spelled)
 
 
 def instant_micros(text: Column) -> Column:
-    """Microseconds since 1970, the nanosecond digits cut off."""
-    seconds = F.unix_seconds(F.concat(_local(text).cast("string"), F.lit("Z")).cast("timestamp"))
-    return seconds * 1_000_000 + F.rpad(_part(text, 3), 6, "0").substr(1, 6).cast("bigint")
+    """Microseconds since 1970, the nanosecond digits cut off; null when the text is no instant."""
+    rest = F.rpad(_part(text, 3), 6, "0").substr(1, 6).cast("bigint")
+    spelled = F.unix_seconds(_shifted(text)) * 1_000_000 + rest
+    return F.when(text.rlike(_PLAIN), F.unix_micros(text.try_cast("timestamp"))).otherwise(spelled)
 
 
 def instant_millis(text: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lastword.functions import instants, messages
+from lastword.functions import contract, instants, messages
 from lastword.operators.newest import first_arrivals
 from lastword.operators.quantiles import index_pick, high_pick, low_pick, middle, order_statistics
 from lastword.operators.scan import running_max_before, seen_before
@@ -25,28 +25,26 @@ def observed(feed: DataFrame) -> DataFrame:
     # Nothing may follow the message: read inside an array and inside an object, it stays one value.
     alone = ((F.json_array_length(F.concat(F.lit("["), raw, F.lit("]"))) == 1)
              & (F.size(F.json_object_keys(F.concat(F.lit('{"w":'), raw, F.lit("}")))) == 1))
-    parsed = messages.barrier(feed, _v=F.when(alone, F.try_parse_json(raw)))
+    parsed = feed.withColumn("_v", F.when(alone, F.try_parse_json(raw)))
 
     def text(path: str) -> Column:
         return F.try_variant_get("_v", path, "string")
 
     fields = {name: text(f"$.payload.{name}") for name in ("seq", "time", *IDENTITY)}
     session = F.col("session") if "session" in feed.columns else F.lit(1)
-    read = messages.barrier(parsed.select(
+    read = parsed.select(
         "offset", session.alias("session"), F.octet_length("raw").alias("bytes"),
         instants.instant_micros(F.col("received_at")).alias("received_us"),
         text("$.payload['$type']").alias("type_text"),
-        *[value.alias(name) for name, value in fields.items()]))
+        *[value.alias(name) for name, value in fields.items()])
     complete = F.col("seq").isNotNull()
     for name in IDENTITY:
         complete = complete & F.col(name).isNotNull()
-    return messages.barrier(
-        read,
-        kind=messages.last_kind_of(F.col("type_text")),
-        commit=F.coalesce(F.endswith("type_text", F.lit("#commit")), F.lit(False)),
-        complete=complete,
-        event_us=instants.instant_micros(F.col("time")),
-    ).drop("type_text", "time")
+    return contract.sealed(read.withColumns({
+        "kind": messages.last_kind_of(F.col("type_text")),
+        "commit": F.coalesce(F.endswith("type_text", F.lit("#commit")), F.lit(False)),
+        "complete": complete,
+        "event_us": instants.instant_micros(F.col("time"))})).drop("type_text", "time")
 
 
 def by_minute(seen: DataFrame) -> DataFrame:

@@ -243,8 +243,8 @@ _on_log("validate_reasons", O.with_(O.LOG + ", broken AS (SELECT \"offset\", " +
 _on_log("parsed_lines", O.with_(O.LOG, f"SELECT \"offset\", {O.EVENT_LIST}, CAST(NULL AS VARCHAR)"
                                        " AS reason FROM log"),
         lambda log: log.select("offset", contract.event_json().alias("line"))
-        .select("offset", contract.parse_event(F.col("line")).alias("p"))
-        .select("offset", *[f"p.event.{n}" for n in model.EVENT_FIELDS], "p.reason"))
+        .transform(contract.parse_lines, "line")
+        .select("offset", *model.EVENT_FIELDS, "reason"))
 
 # --- Activity ----------------------------------------------------------------------------------
 
@@ -330,7 +330,7 @@ _on_feed("body_drop",
 _on_feed("message_kinds",
          O.with_(O.FEED, """SELECT "offset", CASE WHEN edit = 1 THEN NULL WHEN edit = 11 THEN 'unknown'
  WHEN edit IN (12, 13, 14) THEN 'account' ELSE kind END AS kind FROM feed"""),
-         lambda raw: msg.parsed(raw).select("offset", msg.kind_of(F.col("m.kind")).alias("kind")))
+         lambda raw: msg.parsed(raw).select("offset", msg.kind_of(F.col("m_kind_text")).alias("kind")))
 
 # --- Feed profile ------------------------------------------------------------------------------
 

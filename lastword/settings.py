@@ -50,6 +50,8 @@ def configure(spark: SparkSession) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         # A repeated JSON field keeps its last value instead of failing the message.
         "spark.sql.variant.allowDuplicateKeys": "true",
+        # Generated methods above this size are never compiled by the JVM; smaller pieces are.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
