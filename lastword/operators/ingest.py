@@ -9,17 +9,17 @@ from lastword.functions import keys, messages
 
 
 def judge(feed: DataFrame) -> DataFrame:
-    """Feed rows plus `seq`, `kind`, `event` and `reason`: one parse, one pass, no row lost."""
+    """Feed rows plus `seq`, `kind`, the event fields and `reason`: one parse, no row lost."""
     return messages.mapped(messages.parsed(feed))
 
 
 def records(judged: DataFrame) -> DataFrame:
     """Valid events as log rows. Identity messages change no record and are left out."""
     valid = judged.filter(F.col("reason").isNull() & (F.col("kind") != messages.IDENTITY))
-    kind, ident = F.col("event.entity_type"), F.col("event.entity_id")
-    return valid.select("offset", keys.row_key(kind, ident).alias("row_key"),
-                        keys.owner(kind, ident).alias("did"),
-                        *[f"event.{name}" for name in model.EVENT_FIELDS])
+    kind, ident = F.col("entity_type"), F.col("entity_id")
+    rows = valid.select("offset", keys.row_key(kind, ident).alias("row_key"),
+                        keys.owner(kind, ident).alias("did"), *model.EVENT_FIELDS)
+    return messages.closed(rows)
 
 
 def quarantine(judged: DataFrame) -> DataFrame:

@@ -280,15 +280,22 @@ _on_log("activity_ages",
 
 # --- Ingest ------------------------------------------------------------------------------------
 
+
+def _mapped_or_null(judged: DataFrame, *names: str) -> DataFrame:
+    kept = F.col("reason").isNull() & (F.col("kind") != msg.IDENTITY)
+    return judged.select("offset", *[F.when(kept, F.col(name)).alias(name) for name in names],
+                         "reason")
+
+
+
 _on_feed("ingest_records", O.with_(O.LOG, f"SELECT {O.LOG_LIST} FROM log"),
          lambda raw: Q.ingest(raw)["records"].select(*model.LOG_FIELDS))
 _on_feed("map_messages", O.with_(O.LOG + ", f AS (SELECT a.\"offset\", a.edit, a.kind, l.event_id, "
                                          "l.entity_type, l.entity_id, l.event_type, l.state, l.subject"
                                          " FROM arrived a LEFT JOIN log l ON a.\"offset\" = l.\"offset\")",
                                  f"SELECT * EXCLUDE (edit, kind), {O.REASON} AS reason FROM f"),
-         lambda raw: ing.judge(raw).select(
-             "offset", "event.event_id", "event.entity_type", "event.entity_id", "event.event_type",
-             "event.state", "event.subject", "reason"))
+         lambda raw: _mapped_or_null(ing.judge(raw), "event_id", "entity_type", "entity_id",
+                                     "event_type", "state", "subject"))
 _on_feed("quarantine_rows",
          O.with_(O.FEED, f"SELECT sha256(raw) AS key, raw, {O.REASON} AS reason, received_at"
                          " FROM feed WHERE edit > 0"),
@@ -319,7 +326,7 @@ _on_feed("resume_predicate",
  (kind <> 'commit' OR contains(raw, '"{S.LIKE}"') OR contains(raw, '"{S.REPOST}","operation'))"""),
          lambda raw: ing.resumable(
              ing.judge(raw).filter(F.col("reason").isNull())
-             .withColumn("collection", F.col("event.entity_type")), CURSOR, [S.LIKE, S.REPOST])
+             .withColumn("collection", F.col("entity_type")), CURSOR, [S.LIKE, S.REPOST])
          .select("offset"))
 _on_feed("body_drop",
          O.with_(O.LOG, f"SELECT row_key AS key, octet_length(encode(row_key)) AS key_bytes, "
@@ -556,7 +563,10 @@ _on_feed("feed_profile", O.with_(O.SEEN + _HISTORY + f""",
   UNION ALL SELECT 'resume.cursor_is_inclusive', CAST(coalesce(c = f, false) AS INT)
    FROM ended, began)""", "SELECT metric, round(value, 6) AS value FROM report"),
          lambda raw: _rounded(Q.feed_profile(raw), "value"))
-_on_feed("integrity_report", O.with_(O.STATE, f"""
+ENTRIES["integrity_report"] = Entry(
+    lambda spark, sf: Q.integrity_report(feed.records(spark, sf),
+                                         Q.ingest(feed.messages(spark, sf))["counters"]),
+    O.with_(O.STATE, f"""
 SELECT 'stored' AS metric, CAST(count(*) AS DOUBLE) AS value FROM log
 UNION ALL SELECT 'distinct_ids', count(DISTINCT event_id) FROM log
 UNION ALL SELECT 'redelivered', count(*) - count(DISTINCT event_id) FROM log
@@ -565,4 +575,4 @@ UNION ALL SELECT 'collisions', count(*) FROM (SELECT event_id FROM log GROUP BY
 UNION ALL SELECT 'published', count(*) FROM arrived WHERE edit = 0 AND kind <> 'identity'
 UNION ALL SELECT 'quarantined', count(*) FROM arrived WHERE edit > 0
 UNION ALL SELECT 'served', count(*) FROM ({_HEAD}) WHERE row_key IN (SELECT row_key FROM visible)
-UNION ALL SELECT 'resume_cursor', max(source_seq) FROM log"""), Q.integrity_report)
+UNION ALL SELECT 'resume_cursor', max(source_seq) FROM log"""))

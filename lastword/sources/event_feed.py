@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lastword import model, settings as S
 from lastword.functions import contract, instants, keys
+from lastword.functions.messages import closed
 from lastword.operators.rates import window_start
 
 # Fixed values of the adapter: block length of the arrival permutation, its step, revision letters.
@@ -23,7 +24,14 @@ EDITS = 18
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.configure(spark).read.parquet(f"{sf_dir}/events.parquet")
+    table = S.configure(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return spread(table)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Deals the rows of a few small files out to all cores; larger inputs stay as they are split."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores // 2 else table
 
 
 def _arrivals(table: DataFrame, slots: bool = True) -> DataFrame:
@@ -109,9 +117,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = rows.withColumn("time", F.expr(
         "replace(date_format(timestamp_micros(us), 'yyyy-MM-dd HH:mm:ss.SSSSSS'), ' ', 'T') || 'Z'"))
     half = "CASE WHEN received_us < 1705363200000000 THEN 1 ELSE 2 END"
-    return stamped.select("offset", F.expr(RAW_SQL).alias("raw"),
+    return closed(stamped.select("offset", F.expr(RAW_SQL).alias("raw"),
                           instants.micros_text(F.col("received_us")).alias("received_at"),
-                          F.expr(half).alias("session"))
+                          F.expr(half).alias("session")))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +133,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = (F.when(commit, F.when(F.col("op") == "delete", F.lit("deleted"))
                     .otherwise(F.lit("active")))
              .when(F.col("kind") == S.SYNC, F.lit("resynced")).otherwise(F.col("status")))
-    return rows.select(
+    return closed(rows.select(
         "offset", keys.row_key(entity_type, entity_id).alias("row_key"), "did",
         F.lit(S.SCHEMA_VERSION).alias("schema_version"),
         contract.event_identity(entity_type, entity_id, revision, event_type).alias("event_id"),
@@ -135,7 +143,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         instants.micros_text(F.col("us")).alias("event_time"),
         instants.micros_text(F.col("received_us")).alias("received_at"),
         state.alias("state"), F.when(commit, F.col("uri")).alias("subject"),
-    ).select(*model.LOG_FIELDS)
+    ).select(*model.LOG_FIELDS))
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
