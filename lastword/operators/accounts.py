@@ -79,6 +79,18 @@ def _without(rows: DataFrame, accounts: DataFrame, hit: Column, salts: int | Non
     return left.join(right, match & hit, "left_anti").drop("_salt")
 
 
+def judged_records(current: DataFrame, account_guards: DataFrame, salts: int | None = None
+                   ) -> DataFrame:
+    """Records with `purged` and `hidden`, both what a reader's account rules say about them."""
+    records = current.filter(F.col("entity_type").isin(*S.COLLECTIONS))
+    left, right, match = _salted(records, account_guards, salts)
+    purged = F.coalesce(F.col("source_seq") <= F.col("purge_seq"), F.lit(False))
+    return (left.join(right, match, "left")
+            .withColumn("purged", purged)
+            .withColumn("hidden", purged | F.coalesce(F.col("inactive"), F.lit(False)))
+            .drop("_salt", "_did", "_bucket", "inactive", "purge_seq"))
+
+
 def unpurged(current: DataFrame, markers: DataFrame, salts: int | None = None) -> DataFrame:
     """Current rows after physical purge: records at or below their account's boundary are gone."""
     hit = (F.col("entity_type").isin(*S.COLLECTIONS)
@@ -95,4 +107,19 @@ def visible(current: DataFrame, account_guards: DataFrame, salts: int | None = N
 
 
 def guards_of(log: DataFrame, chunk_rows: int | None = None) -> DataFrame:
-    return guards(account_status(log), purge_markers(log, chunk_rows))
+    """`guards` of a whole log in one pass over its marker rows.
+
+    Accepted rows of a key only rise in revision, so the newest status is the one of the highest
+    accepted revision.
+    """
+    markers = (log.filter(F.col("entity_type").isin(S.ACCOUNT, S.SYNC))
+               .select("row_key", "offset", "did", "entity_type", "state", "revision",
+                       "source_seq"))
+    status = F.col("entity_type") == S.ACCOUNT
+    state = F.max_by(F.when(status, F.col("state")), F.when(status, F.col("revision")))
+    boundary = F.max(F.when(purges(F.col("entity_type"), F.col("state")), F.col("source_seq")))
+    per_account = (accepted(markers, chunk_rows).groupBy("did")
+                   .agg(state.alias("_state"), boundary.alias("purge_seq")))
+    inactive = F.coalesce(F.col("_state") != "active", F.lit(False))
+    return (per_account.select("did", inactive.alias("inactive"), "purge_seq")
+            .filter(F.col("inactive") | F.col("purge_seq").isNotNull()))

@@ -24,17 +24,22 @@ def visible_state(log: DataFrame) -> DataFrame:
     return accounts.visible(newest(rows), accounts.guards_of(log))
 
 
-def _visible_among(log: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`visible_state` for at most 200 row keys: both sides of the log are narrowed first."""
-    few = F.broadcast(wanted.select("row_key").distinct())
-    rows = log.join(few, "row_key", "left_semi").filter(F.col("entity_type") != S.SYNC)
-    owners = F.broadcast(wanted.select(keys.owner(
-        keys.key_type(F.col("row_key")), keys.key_id(F.col("row_key"))).alias("did")).distinct())
-    markers = (log.filter(F.col("entity_type").isin(S.ACCOUNT, S.SYNC))
-               .join(owners, "did", "left_semi"))
+def _visible_among(log: DataFrame, wanted: list[str]) -> DataFrame:
+    """`visible_state` of at most 200 row keys, which reach the scans as literals."""
+    rows = log.filter(F.col("row_key").isin(wanted) & (F.col("entity_type") != S.SYNC))
+    dids = sorted({_owner(key) for key in wanted})
+    markers = log.filter(F.col("entity_type").isin(S.ACCOUNT, S.SYNC) & F.col("did").isin(dids))
     return accounts.visible(newest(rows), accounts.guards_of(markers))
 
 
+def _owner(key: str) -> str:
+    """Account of a row key, by the rule of `keys.owner`."""
+    kind, ident = (part.replace("%23", "#").replace("%25", "%") for part in key.split("#", 1))
+    if kind in (S.ACCOUNT, S.SYNC):
+        return ident
+    return ident.split("/", 1)[0] if "/" in ident else ""
+
+
 def current_state(log: DataFrame, entity_type: str, entity_id: str) -> DataFrame:
     """The visible event of one entity: one row or none. Deleted records are returned as such."""
     kind, ident = _argument("entity_type", entity_type), _argument("entity_id", entity_id)
@@ -51,28 +56,38 @@ def activity_index(log: DataFrame) -> DataFrame:
     return act.activity_rows(accepted(log))
 
 
+def _touched(log: DataFrame, index: DataFrame | None, as_of_ms: int, limit: str | int | None,
+             window_ms: int) -> DataFrame:
+    """The touched keys as a local table: a finished top-k of at most 200 rows, so that the reads
+    of their rows are point reads."""
+    entries = act.recent(index if index is not None else activity_index(log), as_of_ms,
+                         limit_argument(limit), window_ms)
+    found = act.touched_keys(entries)
+    return log.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
 def activity(log: DataFrame, as_of_ms: int, limit: str | int | None = None,
              window_ms: int = S.ACTIVITY_WINDOW_MS, index: DataFrame | None = None) -> DataFrame:
     """Records touched most recently, newest first, as each reads now.
 
     The limit applies to index rows, before they are made distinct and hidden ones leave, so fewer
-    rows than the limit are correct.
+    rows than the limit are correct. `index` is the stored index; without one it is derived.
     """
-    entries = act.recent(index if index is not None else activity_index(log), as_of_ms,
-                         limit_argument(limit), window_ms)
-    touched = act.touched_keys(entries)
-    shown = _visible_among(log, touched).join(F.broadcast(touched), "row_key")
+    touched = _touched(log, index, as_of_ms, limit, window_ms)
+    wanted = [row["row_key"] for row in touched.collect()]
+    shown = _visible_among(log, wanted).join(F.broadcast(touched), "row_key")
     return (shown.select("position", "latest_event_ms", *model.EVENT_FIELDS)
             .orderBy("position"))
 
 
 def activity_answer(log: DataFrame, as_of_ms: int, limit: str | int | None = None,
-                    window_ms: int = S.ACTIVITY_WINDOW_MS) -> DataFrame:
+                    window_ms: int = S.ACTIVITY_WINDOW_MS, index: DataFrame | None = None
+                    ) -> DataFrame:
     """One row: observed_ms, latest_event_ms (null without entries), records in order."""
-    entries = act.recent(activity_index(log), as_of_ms, limit_argument(limit), window_ms)
-    touched = act.touched_keys(entries)
+    touched = _touched(log, index, as_of_ms, limit, window_ms)
+    wanted = [row["row_key"] for row in touched.collect()]
     event = F.struct(*model.EVENT_FIELDS)
-    shown = (_visible_among(log, touched).select("row_key", event.alias("event")))
+    shown = _visible_among(log, wanted).select("row_key", event.alias("event"))
     listed = touched.join(F.broadcast(shown), "row_key", "left")
     pair = F.when(F.col("event").isNotNull(), F.struct("position", "event"))
     ordered = F.array_sort(F.collect_list(pair))  # at most 200
@@ -127,20 +142,22 @@ def ingest(feed: DataFrame, cursor: int = -1) -> dict[str, DataFrame]:
 
 def served_sample(log: DataFrame) -> DataFrame:
     """One row: how many of the first sampled posts are visible."""
-    sample = integrity.topic_sample(log).select("row_key")
+    sample = [row["row_key"] for row in integrity.topic_sample(log).select("row_key").collect()]
     shown = _visible_among(log, sample).select("row_key")
-    served = sample.withColumn("one", F.lit(1)).join(F.broadcast(shown), "row_key", "left_semi")
-    return served.agg(F.count(F.lit(1)).alias("served"))
+    asked = log.sparkSession.createDataFrame([(key,) for key in sample], "row_key string")
+    return asked.join(shown, "row_key", "left_semi").agg(F.count(F.lit(1)).alias("served"))
 
 
 def reconcile_rows(log: DataFrame, snapshot: DataFrame, entity_type: str = S.LIKE,
                    limit: int | None = None) -> DataFrame:
     """Stored records of one type against the source's snapshot; with a limit the first keys."""
-    mine = log.filter(F.col("entity_type") == entity_type)
-    stored = accounts.unpurged(newest(mine), accounts.purge_markers(log))
-    wanted = reconcile.candidates(stored, f"{entity_type}#", limit).select("entity_id")
-    served = accounts.visible(newest(mine), accounts.guards_of(log))
-    return reconcile.compare(wanted, served, snapshot)
+    current = newest(log.filter(F.col("entity_type") == entity_type)
+                     .select("row_key", "offset", "did", "entity_type", "entity_id", "revision",
+                             "source_seq", "state", "subject"))
+    stored = accounts.judged_records(current, accounts.guards_of(log)).filter(~F.col("purged"))
+    wanted = reconcile.candidates(stored, f"{entity_type}#", limit)
+    ours = wanted.select("entity_id", "state", "subject", (~F.col("hidden")).alias("served"))
+    return reconcile.compare_stored(ours, snapshot)
 
 
 def reconcile_verdict(log: DataFrame, snapshot: DataFrame) -> DataFrame:

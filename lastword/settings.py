@@ -41,7 +41,7 @@ PREVIEW_ROWS = 2
 # account never lands in fewer than ACCOUNT_SALTS shuffle buckets.
 CHUNK_ROWS = 1 << 20
 ACCOUNT_SALTS = 16
-STATE_BUCKETS = 64
+STATE_BUCKETS = 256
 
 
 def configure(spark: SparkSession) -> SparkSession:

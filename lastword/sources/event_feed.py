@@ -62,9 +62,9 @@ _FIELDS = {
 
 
 def _tid(number: str) -> str:
-    letters = [f"substr('{TID_LETTERS}', cast((shiftright({number}, {5 * i}) & 31) + 1 AS int), 1)"
-               for i in range(12, -1, -1)]
-    return "concat(" + ", ".join(letters) + ")"
+    """Thirteen base-32 digits in the revision alphabet, which keeps number order."""
+    digits = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+    return f"translate(lpad(conv({number}, 10, 32), 13, '0'), '{digits}', '{TID_LETTERS}')"
 
 
 def _arrived(table: DataFrame, slots: bool) -> DataFrame:

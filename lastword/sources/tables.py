@@ -93,10 +93,22 @@ class Store:
     def commits(self) -> DataFrame:
         return self._read("commits", model.COMMIT)
 
+    def _finished(self, table: str) -> int:
+        """Highest number of the folders of a table whose write came to its end, -1 for none. It
+        looks at names alone, so it costs the same however much the folders hold."""
+        numbers = sorted((int(name.split("=")[1]) for name in folders(self.spark, self.path(table))),
+                         reverse=True)
+        kind = "gen" if table == "pointers" else "batch"
+        return next((n for n in numbers if exists(
+            self.spark, f"{self.path(table)}/{kind}={n}/_SUCCESS")), -1)
+
     def last_commit(self) -> tuple[int, int]:
         """(batch, cursor) of the newest commit, (-1, -1) when there is none."""
-        row = self.commits().agg(F.max(F.struct("batch", "cursor")).alias("last")).first()
-        return (row["last"]["batch"], row["last"]["cursor"]) if row["last"] else (-1, -1)
+        batch = self._finished("commits")
+        if batch < 0:
+            return -1, -1
+        row = self.spark.read.parquet(f"{self.path('commits')}/batch={batch}").first()
+        return batch, row["cursor"]
 
     def _committed(self, table: str, schema: T.StructType, after: int = -1) -> DataFrame:
         """Rows of committed batches. Batches commit in order, so one bound selects them, and it
@@ -127,11 +139,9 @@ class Store:
 
     def generation(self) -> tuple[int, int, dict[int, int]]:
         """(generation, last batch it covers, home generation of each bucket)."""
-        names = [name for name in folders(self.spark, self.path("pointers"))
-                 if exists(self.spark, f"{self.path('pointers')}/{name}/_SUCCESS")]
-        if not names:
+        gen = self._finished("pointers")
+        if gen < 0:
             return -1, -1, {}
-        gen = max(int(name.split("=")[1]) for name in names)
         rows = self.pointers().filter(F.col("gen") == gen).collect()  # one row per bucket
         return gen, max(r["upto"] for r in rows), {r["bucket"]: r["home"] for r in rows}
 
@@ -229,8 +239,9 @@ class Store:
         old = rows.filter(F.col("purged"))
         out = alive.unionByName(dead).unionByName(old).withColumn(
             "bucket", bucket(F.col("row_key"), self.buckets))
-        (out.repartition("bucket", F.pmod(F.xxhash64("row_key", F.lit(7)), F.lit(8)))
-         .sortWithinPartitions("bucket", "row_key")
+        # Rebalancing splits a large bucket by size and keeps a small one whole; the order inside a
+        # file lets a point read skip row groups.
+        (out.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "row_key")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path('state')}/{new}"))
         homes.update({b: new for b in touched})
         pointer = self.spark.createDataFrame([(b, h, last) for b, h in sorted(homes.items())],
