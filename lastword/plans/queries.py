@@ -8,6 +8,7 @@ from lastword import model, settings as S
 from lastword.functions import contract, keys
 from lastword.functions.display import limit_argument
 from lastword.functions.instants import instant_millis
+from lastword.functions.messages import closed
 from lastword.operators import accounts, activity as act, ingest as ing, integrity, profile, reconcile
 from lastword.operators.newest import accepted, newest
 
@@ -173,9 +174,13 @@ def _metrics(prefix: str, one_row: DataFrame) -> DataFrame:
 
 
 def feed_profile(feed: DataFrame) -> DataFrame:
-    """The sample report of a raw feed as (metric, value) rows."""
+    """The sample report of a raw feed as (metric, value) rows.
+
+    All parts read the same two aggregations. They are closed, so that no part prunes them into a
+    variant of its own and their shuffles are shared.
+    """
     seen = profile.observed(feed)
-    minutes, unique = profile.by_minute(seen), profile.unique_commits(seen)
+    minutes, unique = closed(profile.by_minute(seen)), closed(profile.unique_commits(seen))
     kinds = profile.kind_counts(minutes).select(
         F.concat(F.lit("message_kinds."), "kind").alias("metric"),
         F.col("messages").cast("double").alias("value"))
