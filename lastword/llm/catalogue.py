@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lastword.llm import decontaminate
+from lastword.llm.decontaminate import op6_decontamination
+from lastword.llm.packing import op5_packing
 from lastword.llm.quality import op10_quality
 from lastword.llm.sharding import op7_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_packing": op5_packing,
+    "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op10_quality": op10_quality,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_decontamination": decontaminate.SQL}
