@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lastword.llm import decontaminate
 from lastword.llm.decontaminate import op6_decontamination
+from lastword.llm.jaccard import op9_jaccard
+from lastword.llm.lines import op1_lines
 from lastword.llm.packing import op5_packing
 from lastword.llm.quality import op10_quality
 from lastword.llm.sharding import op7_sharding
@@ -15,11 +17,13 @@ from lastword.llm.topk import op4_topk
 from lastword.llm.urls import op8_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lines": op1_lines,
     "op4_topk": op4_topk,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op8_urls": op8_urls,
+    "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
 }
 SQL: dict[str, str] = {"op6_decontamination": decontaminate.SQL}
