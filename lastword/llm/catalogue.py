@@ -12,12 +12,14 @@ from lastword.llm.jaccard import op9_jaccard
 from lastword.llm.lines import op1_lines
 from lastword.llm.packing import op5_packing
 from lastword.llm.quality import op10_quality
+from lastword.llm.repeats import op2_repeats
 from lastword.llm.sharding import op7_sharding
 from lastword.llm.topk import op4_topk
 from lastword.llm.urls import op8_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
+    "op2_repeats": op2_repeats,
     "op4_topk": op4_topk,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
