@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from lastword.llm import decontaminate
 from lastword.llm.decontaminate import op6_decontamination
+from lastword.llm.extract import op3_extract
 from lastword.llm.jaccard import op9_jaccard
 from lastword.llm.lines import op1_lines
 from lastword.llm.packing import op5_packing
@@ -20,6 +22,7 @@ from lastword.llm.urls import op8_urls
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
     "op2_repeats": op2_repeats,
+    "op3_extract": op3_extract,
     "op4_topk": op4_topk,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
@@ -27,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {"op6_decontamination": decontaminate.SQL}

@@ -39,6 +39,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Whole texts travel to Python: few rows a batch keep a worker's memory bounded."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 

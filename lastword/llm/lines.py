@@ -14,7 +14,6 @@ table gives no rows; other columns are kept as they are.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -160,6 +159,19 @@ def deduplicated(docs: DataFrame, counts: bool = False) -> DataFrame:
     return out if counts else out.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """docs without removed lines, and without documents that had words in lines but keep none.
+
+    n_chars, where it is a column, follows a changed text.
+    """
+    out = deduplicated(docs, counts=True).where("__n_lines = 0 OR __n_removed < __n_lines")
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("__n_removed") > 0, F.length("text").cast(kind))
+                             .otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: doc_id, n_lines with words, n_removed, kept_sha256 of what is left of the text."""
     docs = frames.table(spark, folder, "documents").select("doc_id", "text")
