@@ -72,9 +72,6 @@ class Encoder:
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.forget()
-            return
         found = [e.ids for e in self.by_word.encode_batch_fast(words, add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
@@ -133,15 +130,14 @@ class Encoder:
         starts, ends = self._cut(points)
         hashes = textops.span_hashes(points, starts, ends)
         unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        for _ in range(2):
-            slot = np.searchsorted(self.known, unique)
-            missing = slot == len(self.known)
-            missing[~missing] = self.known[slot[~missing]] != unique[~missing]
-            if not missing.any():
-                break
-            self._learn(unique[missing], [lowered[starts[i]:ends[i]] for i in first[missing]])
-        if missing.any() and not np.isin(unique, self.known).all():
-            slot = self._relearn(unique, first, lowered, starts, ends)
+        slot = self._slots(unique)
+        if (slot < 0).any():
+            if len(self.known) + len(unique) > CACHED_WORDS:
+                self.forget()
+                slot = self._slots(unique)
+            new = slot < 0
+            self._learn(unique[new], [lowered[starts[i]:ends[i]] for i in first[new]])
+            slot = self._slots(unique)
         size, at = self.size[slot][back], self.at[slot][back]
         total = np.concatenate([[0], np.cumsum(size)])
         flat = self.ids[np.arange(total[-1]) + np.repeat(at - total[:-1], size)]
@@ -151,13 +147,12 @@ class Encoder:
             out[i] = flat[cut[k]:cut[k + 1]]
         return out
 
-    def _relearn(self, unique, first, lowered, starts, ends) -> np.ndarray:
-        """After forgetting: this batch's words alone."""
-        for low in range(0, len(unique), CACHED_WORDS // 2):
-            part = slice(low, low + CACHED_WORDS // 2)
-            fresh = ~np.isin(unique[part], self.known)
-            self._learn(unique[part][fresh], [lowered[starts[i]:ends[i]] for i in first[part][fresh]])
-        return np.searchsorted(self.known, unique)
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of known words, -1 for others."""
+        slot = np.searchsorted(self.known, hashes)
+        known = slot < len(self.known)
+        known[known] = self.known[slot[known]] == hashes[known]
+        return np.where(known, slot, -1)
 
 
 _ENCODERS: dict[str, Encoder] = {}
