@@ -9,7 +9,7 @@ from lastword.functions import instants
 from lastword.functions.keys import padded
 
 _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-NOT_ONE_EVENT = "line is not exactly one contract event"
+NOT_ONE_EVENT = "line: not one event and nothing else"
 
 
 def full_match(text: Column, pattern: str) -> Column:
@@ -54,21 +54,21 @@ def lifecycle_reason(event: dict[str, Column], record_id: Column | None = None,
     if marker_id is None:
         marker_id = full_match(ident, S.DID_PATTERN)
     record = first_reason([
-        (record_id, "record entity_id must be did/rkey"),
-        (op.isin(*S.OPERATIONS), "event_type must be create, update or delete"),
+        (record_id, "record id: account and key expected"),
+        (op.isin(*S.OPERATIONS), "operation: none of the three known ones"),
         (event["state"] == F.when(op == "delete", F.lit("deleted")).otherwise(F.lit("active")),
-         "state must follow event_type"),
-        (full_match(event["revision"], S.TID_PATTERN), "revision must be an AT Protocol TID"),
+         "state: does not fit the operation"),
+        (full_match(event["revision"], S.TID_PATTERN), "revision: not a record revision"),
     ])
     marker = first_reason([
         (kind.isin(S.ACCOUNT, S.SYNC),
-         "entity_type must be a subscribed collection, account or sync"),
-        (kind == op, "event_type must equal entity_type for account markers"),
-        (marker_id, "entity_id must be a DID"),
+         "type: neither a known collection nor a marker"),
+        (kind == op, "marker: operation and type differ"),
+        (marker_id, "marker id: account expected"),
         (event["revision"] == padded(event["source_seq"]),
-         "revision must be the zero-padded source_seq"),
-        ((kind != S.SYNC) | (event["state"] == "resynced"), "sync state must be resynced"),
-        (event["subject"].isNull(), "account markers have no subject"),
+         "marker revision: not the padded sequence"),
+        ((kind != S.SYNC) | (event["state"] == "resynced"), "resync marker: wrong state"),
+        (event["subject"].isNull(), "marker: subject not allowed"),
     ])
     return F.when(is_collection(kind), record).otherwise(marker)
 
@@ -82,16 +82,16 @@ def reason(event: dict[str, Column]) -> Column:
     return F.coalesce(
         first_reason([
             (event["schema_version"] == S.SCHEMA_VERSION,
-             f"schema_version must be {S.SCHEMA_VERSION}"),
-            (filled, "required contract fields must not be empty"),
+             f"version: not {S.SCHEMA_VERSION}"),
+            (filled, "a required field is blank"),
             (full_match(event["event_id"], S.EVENT_ID_PATTERN),
-             "event_id must be a lowercase SHA-256 digest"),
-            (event["source_seq"] >= 0, "source_seq must be a non-negative integer"),
+             "event id: not a digest in lower-case hex"),
+            (event["source_seq"] >= 0, "sequence: not a whole number from 0"),
         ]),
         lifecycle_reason(event),
         first_reason([
-            (instants.is_instant(event["event_time"]), "event_time is not an instant"),
-            (instants.is_instant(event["received_at"]), "received_at is not an instant"),
+            (instants.is_instant(event["event_time"]), "event time: unreadable"),
+            (instants.is_instant(event["received_at"]), "receive time: unreadable"),
         ]))
 
 

@@ -26,14 +26,22 @@ def _shift_seconds(zone: Column) -> Column:
 
 def _shifted(text: Column) -> Column:
     """UTC time to the second of an instant in any spelling; null when the text is none."""
-    clock = F.concat(_part(text, 1), F.lit("T"), _part(text, 2), F.lit("Z")).try_cast("timestamp")
+    time = _part(text, 2)
+    end_of_day = (time == "24:00:00") & ~_part(text, 3).rlike("[1-9]")
+    read = F.when(end_of_day, F.lit("00:00:00")).when(time == "23:59:60", F.lit("23:59:59")).otherwise(time)
+    clock = F.concat(_part(text, 1), F.lit("T"), read, F.lit("Z")).try_cast("timestamp")
     shift = _shift_seconds(_part(text, 4))
-    moved = F.timestamp_seconds(F.unix_seconds(clock) - shift)
+    day = F.when(end_of_day, F.lit(86_400)).otherwise(F.lit(0))
+    moved = F.timestamp_seconds(F.unix_seconds(clock) + day - shift)
     return F.when(text.rlike(_SHAPE) & (F.abs(shift) <= 18 * 3600), moved)
 
 
+def _plain(text: Column) -> Column:
+    return text.rlike(_PLAIN) & text.try_cast("timestamp").isNotNull()
+
+
 def is_instant(text: Column) -> Column:
-    return F.when(text.rlike(_PLAIN), text.try_cast("timestamp").isNotNull()).otherwise(
+    return F.when(_plain(text), F.lit(True)).otherwise(
         F.coalesce(_shifted(text).isNotNull(), F.lit(False)))
 
 
@@ -51,20 +59,24 @@ def normal_instant(text: Column) -> Column:
     plain = F.concat(F.substring(text, 1, 19), _trimmed(F.rpad(digits, 9, "0")), F.lit("Z"))
     clock = F.replace(_shifted(text).cast("string"), F.lit(" "), F.lit("T"))
     spelled = F.concat(clock, _trimmed(F.rpad(_part(text, 3), 9, "0")), F.lit("Z"))
-    return F.when(text.rlike(_PLAIN),
-                  F.when(text.try_cast("timestamp").isNotNull(), plain)).otherwise(spelled)
+    return F.when(_plain(text), plain).otherwise(spelled)
 
 
 def instant_micros(text: Column) -> Column:
     """Microseconds since 1970, the nanosecond digits cut off; null when the text is no instant."""
     rest = F.rpad(_part(text, 3), 6, "0").substr(1, 6).cast("bigint")
     spelled = F.unix_seconds(_shifted(text)) * 1_000_000 + rest
-    return F.when(text.rlike(_PLAIN), F.unix_micros(text.try_cast("timestamp"))).otherwise(spelled)
+    return F.when(_plain(text), F.unix_micros(text.try_cast("timestamp"))).otherwise(spelled)
+
+
+def floor_div(value: Column, by: int) -> Column:
+    """Integer division towards minus infinity; exact for all 64-bit values."""
+    return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by).cast("bigint"))
 
 
 def instant_millis(text: Column) -> Column:
-    """Milliseconds since 1970, for instants in canonical print."""
-    return F.unix_millis(text.try_cast("timestamp"))
+    """Milliseconds since 1970 of an instant in any spelling, null when the text is none."""
+    return floor_div(instant_micros(text), 1000)
 
 
 def micros_text(micros: Column) -> Column:

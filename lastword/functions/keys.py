@@ -50,8 +50,12 @@ def owner(entity_type: Column, entity_id: Column) -> Column:
 
 
 def activity_key(received_at: Column, event_id: Column) -> Column:
-    """Complement of the receive time, so ascending key order is newest first."""
-    left = F.lit(S.ACTIVITY_HORIZON_MS) - instant_millis(received_at)
+    """Complement of the receive time, so ascending key order is newest first. Raises without one:
+    a null key would merge unrelated events."""
+    known = F.coalesce(instant_millis(received_at), F.raise_error(
+        F.concat(F.lit("no activity key without a receive time: "), F.coalesce(received_at, F.lit("null"))))
+        .cast("bigint"))
+    left = F.lit(S.ACTIVITY_HORIZON_MS) - known
     return F.concat(F.lit(S.ACTIVITY_PREFIX),
                     F.lpad(left.cast("string"), S.ACTIVITY_DIGITS, "0"),
                     F.lit("#"), F.substring(event_id, 1, S.ACTIVITY_ID_CHARS))

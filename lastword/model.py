@@ -49,4 +49,4 @@ COMMIT = T.StructType([
     T.StructField("published", T.LongType()),
     T.StructField("identity_skipped", T.LongType()),
     T.StructField("quarantined", T.LongType()),
-])
+    T.StructField("run", T.StringType()), T.StructField("run_batch", T.LongType())])

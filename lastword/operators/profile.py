@@ -49,7 +49,7 @@ def observed(feed: DataFrame) -> DataFrame:
 
 def by_minute(seen: DataFrame) -> DataFrame:
     """One row per receive minute and kind: messages, bytes, and messages that could not be read."""
-    minute = F.floor(F.col("received_us") / F.lit(MINUTE_US))
+    minute = instants.floor_div(F.col("received_us"), MINUTE_US)
     unread = F.col("kind").isNull() | (F.col("commit") & ~F.col("complete"))
     return (seen.groupBy(minute.alias("minute"), "kind")
             .agg(F.count(F.lit(1)).alias("messages"),

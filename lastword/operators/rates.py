@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lastword.functions.instants import floor_div
 from lastword.operators.quantiles import high_pick, interpolated, low_pick, order_statistics
 
 
 def window_start(micros: Column, seconds: int = 60) -> Column:
     """Start of the aligned window, in seconds since 1970."""
-    return F.floor(micros / F.lit(seconds * 1_000_000)).cast("bigint") * seconds
+    return floor_div(micros, seconds * 1_000_000) * seconds
 
 
 def rate_sum(points: DataFrame, groups: list[str], seconds: int = 60) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lastword.functions.instants import floor_div
 from lastword import settings as S
 
 
@@ -17,7 +18,7 @@ def running_max_before(rows: DataFrame, keys: list[str], order: str, value: str,
     extra row that sorts first. Rows and carry rows share a single shuffle and a single sort.
     """
     width = chunk_rows or S.CHUNK_ROWS
-    tagged = rows.withColumn("_chunk", F.floor(F.col(order) / F.lit(width)))
+    tagged = rows.withColumn("_chunk", floor_div(F.col(order), width))
     earlier = (Window.partitionBy(*keys).orderBy("_chunk")
                .rowsBetween(Window.unboundedPreceding, -1))
     carry = (tagged.groupBy(*keys, "_chunk").agg(F.max(value).alias("_top"))

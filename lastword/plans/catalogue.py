@@ -137,12 +137,12 @@ _on_log("padded_seqs",
         lambda log: log.select("offset", keys.padded(F.col("source_seq")).alias("padded")))
 _on_log("activity_keys",
         O.with_(O.LOG, """SELECT "offset", '~act#' || lpad(CAST(99999999999999 -
- epoch_ms(CAST(received_at AS TIMESTAMP)) AS VARCHAR), 14, '0') || '#' || substr(event_id, 1, 12)
+ (epoch_us(CAST(received_at AS TIMESTAMP)) // 1000) AS VARCHAR), 14, '0') || '#' || substr(event_id, 1, 12)
  AS activity_key FROM log"""),
         lambda log: log.select("offset", keys.activity_key(F.col("received_at"), F.col("event_id"))
                                .alias("activity_key")))
 _on_log("activity_times",
-        O.with_(O.LOG, 'SELECT "offset", epoch_ms(CAST(received_at AS TIMESTAMP)) AS received_ms FROM log'),
+        O.with_(O.LOG, 'SELECT "offset", (epoch_us(CAST(received_at AS TIMESTAMP)) // 1000) AS received_ms FROM log'),
         lambda log: log.select("offset", keys.activity_millis(
             keys.activity_key(F.col("received_at"), F.col("event_id"))).alias("received_ms")))
 _on_log("event_ids",
@@ -186,7 +186,7 @@ _on_log("age_texts",
  WHEN ms < 60000 THEN printf('%.1f s', ms / 1000.0::DOUBLE)
  ELSE (ms // 60000) || ' min ' || lpad(CAST(ms // 1000 % 60 AS VARCHAR), 2, '0') || ' s' END
  AS age FROM (SELECT "offset", """ + _AGE.format(
-            k="source_seq % 3", ms="epoch_ms(CAST(received_at AS TIMESTAMP))") + " AS ms FROM log)"),
+            k="source_seq % 3", ms="(epoch_us(CAST(received_at AS TIMESTAMP)) // 1000)") + " AS ms FROM log)"),
         lambda log: log.withColumn("ms", instants.instant_millis(F.col("received_at")))
         .withColumn("ms", F.expr(_AGE.format(k="source_seq % 3", ms="ms")))
         .select("offset", display.age_text(F.col("ms")).alias("age")))
@@ -215,30 +215,30 @@ def _broken(log: DataFrame) -> DataFrame:
 _on_log("validate_reasons", O.with_(O.LOG + ", broken AS (SELECT \"offset\", " + ", ".join(
     f"{text.format(b='source_seq % 14')} AS {name}" for name, text in _BREAK.items())
     + " FROM log)", f"""SELECT "offset", CASE
- WHEN schema_version <> 'record-state.v1' THEN 'schema_version must be record-state.v1'
- WHEN trim(event_id) = '' THEN 'required contract fields must not be empty'
+ WHEN schema_version <> 'record-state.v1' THEN 'version: not record-state.v1'
+ WHEN trim(event_id) = '' THEN 'a required field is blank'
  WHEN NOT regexp_full_match(event_id, '[0-9a-f]{{64}}')
-  THEN 'event_id must be a lowercase SHA-256 digest'
- WHEN source_seq IS NULL OR source_seq < 0 THEN 'source_seq must be a non-negative integer'
+  THEN 'event id: not a digest in lower-case hex'
+ WHEN source_seq IS NULL OR source_seq < 0 THEN 'sequence: not a whole number from 0'
  WHEN entity_type IN ('{S.POST}', '{S.LIKE}', '{S.REPOST}') THEN CASE
-  WHEN starts_with(entity_id, '/') THEN 'record entity_id must be did/rkey'
+  WHEN starts_with(entity_id, '/') THEN 'record id: account and key expected'
   WHEN event_type NOT IN ('create', 'update', 'delete')
-   THEN 'event_type must be create, update or delete'
+   THEN 'operation: none of the three known ones'
   WHEN state <> CASE event_type WHEN 'delete' THEN 'deleted' ELSE 'active' END
-   THEN 'state must follow event_type'
-  WHEN NOT regexp_full_match(revision, '{S.TID_PATTERN}') THEN 'revision must be an AT Protocol TID'
-  WHEN TRY_CAST(event_time AS TIMESTAMP) IS NULL THEN 'event_time is not an instant'
-  WHEN contains(received_at, ' ') THEN 'received_at is not an instant' END
+   THEN 'state: does not fit the operation'
+  WHEN NOT regexp_full_match(revision, '{S.TID_PATTERN}') THEN 'revision: not a record revision'
+  WHEN TRY_CAST(event_time AS TIMESTAMP) IS NULL THEN 'event time: unreadable'
+  WHEN contains(received_at, ' ') THEN 'receive time: unreadable' END
  WHEN entity_type NOT IN ('account', 'sync')
-  THEN 'entity_type must be a subscribed collection, account or sync'
- WHEN event_type <> entity_type THEN 'event_type must equal entity_type for account markers'
- WHEN starts_with(entity_id, '/') THEN 'entity_id must be a DID'
+  THEN 'type: neither a known collection nor a marker'
+ WHEN event_type <> entity_type THEN 'marker: operation and type differ'
+ WHEN starts_with(entity_id, '/') THEN 'marker id: account expected'
  WHEN revision <> lpad(CAST(source_seq AS VARCHAR), 20, '0')
-  THEN 'revision must be the zero-padded source_seq'
- WHEN entity_type = 'sync' AND state <> 'resynced' THEN 'sync state must be resynced'
- WHEN subject IS NOT NULL THEN 'account markers have no subject'
- WHEN TRY_CAST(event_time AS TIMESTAMP) IS NULL THEN 'event_time is not an instant'
- WHEN contains(received_at, ' ') THEN 'received_at is not an instant' END AS reason FROM broken"""),
+  THEN 'marker revision: not the padded sequence'
+ WHEN entity_type = 'sync' AND state <> 'resynced' THEN 'resync marker: wrong state'
+ WHEN subject IS NOT NULL THEN 'marker: subject not allowed'
+ WHEN TRY_CAST(event_time AS TIMESTAMP) IS NULL THEN 'event time: unreadable'
+ WHEN contains(received_at, ' ') THEN 'receive time: unreadable' END AS reason FROM broken"""),
         _broken)
 _on_log("parsed_lines", O.with_(O.LOG, f"SELECT \"offset\", {O.EVENT_LIST}, CAST(NULL AS VARCHAR)"
                                        " AS reason FROM log"),
@@ -275,7 +275,7 @@ _on_log("activity_summary",
 _on_log("activity_ages",
         O.with_(O.activity(AS_OF_MS, 50, DAY_MS), f"""SELECT count(*) AS shown,
  count(DISTINCT entity_type) AS types, {AS_OF_MS} - max(latest_event_ms) AS index_age_ms,
- {AS_OF_MS} - max(epoch_ms(CAST(event_time AS TIMESTAMP))) AS source_age_ms FROM shown"""),
+ {AS_OF_MS} - max((epoch_us(CAST(event_time AS TIMESTAMP)) // 1000)) AS source_age_ms FROM shown"""),
         lambda log: Q.activity_ages(log, AS_OF_MS, 50, DAY_MS))
 
 # --- Ingest ------------------------------------------------------------------------------------
@@ -491,15 +491,15 @@ compared AS (SELECT row_key, entity_id, CASE WHEN v_id IS NULL THEN 'record'
   WHEN status IN (400, 404) AND error = 'RecordNotFound' THEN 'record'
   WHEN status <> 200 THEN 'source' WHEN their IS NULL THEN 'record'
   WHEN state <> 'active' THEN 'record' WHEN ours IS DISTINCT FROM their THEN 'record' END AS blame,
- CASE WHEN v_id IS NULL THEN 'no longer served: purged or superseded'
+ CASE WHEN v_id IS NULL THEN 'not among the served rows any more'
   WHEN status IN (400, 404) AND error = 'RecordNotFound'
-   THEN 'gone from the source since capture: ' || error
-  WHEN status <> 200 THEN 'the source answered HTTP ' || status || ' ('
-   || coalesce(error, 'no error given') || ')'
-  WHEN their IS NULL THEN 'the source record carries no subject'
-  WHEN state <> 'active' THEN 'served as ' || state || ', so the source should not still have it'
-  WHEN ours IS DISTINCT FROM their THEN 'served subject ' || coalesce(ours, 'None')
-   || ', source says ' || their END AS reason
+   THEN 'source has lost it: ' || error
+  WHEN status <> 200 THEN 'source status ' || status || ' ('
+   || coalesce(error, 'no error') || ')'
+  WHEN their IS NULL THEN 'source row has no subject'
+  WHEN state <> 'active' THEN 'state here is ' || state || ' while the source has it'
+  WHEN ours IS DISTINCT FROM their THEN 'subject here ' || coalesce(ours, 'None')
+   || ', there ' || their END AS reason
  FROM (SELECT s.row_key, s.entity_id, v.entity_id AS v_id, v.state, v.subject AS ours, p.status,
    p.error, p.subject AS their FROM stored s
   LEFT JOIN visible v ON v.row_key = s.row_key LEFT JOIN snap p ON p.entity_id = s.entity_id))"""

@@ -80,9 +80,9 @@ visible AS (
    coalesce(s.state, 'active') = 'active' AND
    (m.purge_seq IS NULL OR c.source_seq > m.purge_seq)))),
 act_rows AS (
- SELECT '~act#' || lpad(CAST(99999999999999 - epoch_ms(CAST(received_at AS TIMESTAMP))
+ SELECT '~act#' || lpad(CAST(99999999999999 - (epoch_us(CAST(received_at AS TIMESTAMP)) // 1000)
     AS VARCHAR), 14, '0') || '#' || substr(event_id, 1, 12) AS activity_key,
-  epoch_ms(CAST(received_at AS TIMESTAMP)) AS received_ms, row_key
+  (epoch_us(CAST(received_at AS TIMESTAMP)) // 1000) AS received_ms, row_key
  FROM accepted WHERE entity_type <> 'sync')"""
 
 
@@ -103,18 +103,18 @@ feed AS (SELECT "offset", {RAW_SQL} AS raw, received_at, received_us, us, seq, s
   CASE WHEN received_us < 1705363200000000 THEN 1 ELSE 2 END AS session FROM arrived)"""
 
 # Reason each edit leads to, by construction of the message.
-REASON = """CASE edit WHEN 1 THEN 'message is not valid JSON' WHEN 2 THEN 'unexpected envelope ping'
- WHEN 3 THEN 'seq must be a non-negative integer' WHEN 4 THEN 'seq must be a non-negative integer'
- WHEN 5 THEN 'seq must be a non-negative integer' WHEN 6 THEN 'did must be a non-empty string'
- WHEN 7 THEN 'rkey is malformed'
- WHEN 8 THEN 'entity_type must be a subscribed collection, account or sync'
- WHEN 9 THEN 'event_type must be create, update or delete'
- WHEN 10 THEN 'revision must be an AT Protocol TID' WHEN 11 THEN 'unknown event kind unknown'
- WHEN 12 THEN 'account event without active flag'
- WHEN 13 THEN 'status must be a non-empty string'
- WHEN 14 THEN 'account event without active flag'
- WHEN 15 THEN 'time is not an ISO-8601 instant' WHEN 16 THEN 'time must be a non-empty string'
- WHEN 17 THEN 'did must be a non-empty string' WHEN 18 THEN 'did is malformed' END"""
+REASON = """CASE edit WHEN 1 THEN 'message is not valid JSON' WHEN 2 THEN 'envelope: ping'
+ WHEN 3 THEN 'message sequence: not a whole number from 0' WHEN 4 THEN 'message sequence: not a whole number from 0'
+ WHEN 5 THEN 'message sequence: not a whole number from 0' WHEN 6 THEN 'did: text expected'
+ WHEN 7 THEN 'record key: wrong form'
+ WHEN 8 THEN 'type: neither a known collection nor a marker'
+ WHEN 9 THEN 'operation: none of the three known ones'
+ WHEN 10 THEN 'revision: not a record revision' WHEN 11 THEN 'message kind: unknown'
+ WHEN 12 THEN 'account message: active flag missing'
+ WHEN 13 THEN 'status: text expected'
+ WHEN 14 THEN 'account message: active flag missing'
+ WHEN 15 THEN 'message time: unreadable' WHEN 16 THEN 'time: text expected'
+ WHEN 17 THEN 'did: text expected' WHEN 18 THEN 'account id: wrong form' END"""
 
 # What the lenient profile reads of each message, from the message text itself.
 SEEN = FEED + """,

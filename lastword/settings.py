@@ -30,12 +30,10 @@ DEFAULT_LIMIT = 50
 MAX_LIMIT = 200
 STATE_TTL_MS = 3 * 24 * 60 * 60 * 1000
 LOG_RETENTION_MS = 3 * 24 * 60 * 60 * 1000
-MAX_BATCH = 2_000
 TRACE_CANDIDATES = 10
 TOPIC_SAMPLE = 300
 SERVED_SAMPLE = 20
 PREVIEW_CHARS = 160
-PREVIEW_ROWS = 2
 
 # Scale knobs, all ours. One window group never holds more than CHUNK_ROWS rows, and one
 # account never lands in fewer than ACCOUNT_SALTS shuffle buckets.

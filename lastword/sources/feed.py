@@ -16,15 +16,16 @@ def landing(spark: SparkSession, folder: str, max_files: int | None = None) -> D
     return reader.json(folder)
 
 
-def kafka_options(servers: str, topic: str, max_rows: int = S.MAX_BATCH) -> dict[str, str]:
-    """Records topic from its beginning, committed transactions only, a bounded batch at a time."""
+def kafka_options(servers: str, topic: str, max_rows: int | None = None) -> dict[str, str]:
+    """Records topic from its beginning, committed transactions only. A batch takes all there is
+    unless `max_rows` bounds it; a bound must be above the feed's rate times a batch's seconds."""
+    bound = {"maxOffsetsPerTrigger": str(max_rows)} if max_rows else {}
     return {"kafka.bootstrap.servers": servers, "subscribe": topic,
-            "startingOffsets": "earliest", "kafka.isolation.level": "read_committed",
-            "maxOffsetsPerTrigger": str(max_rows)}
+            "startingOffsets": "earliest", "kafka.isolation.level": "read_committed", **bound}
 
 
 def kafka_feed(spark: SparkSession, servers: str, topic: str,
-               max_rows: int = S.MAX_BATCH) -> DataFrame:
+               max_rows: int | None = None) -> DataFrame:
     """Raw feed rows from a Kafka topic (needs the Kafka connector on the class path)."""
     stream = S.configure(spark).readStream.format("kafka").options(
         **kafka_options(servers, topic, max_rows)).load()
@@ -34,7 +35,7 @@ def kafka_feed(spark: SparkSession, servers: str, topic: str,
 
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str,
-                max_rows: int = S.MAX_BATCH) -> DataFrame:
+                max_rows: int | None = None) -> DataFrame:
     """Contract lines of the records topic."""
     stream = S.configure(spark).readStream.format("kafka").options(
         **kafka_options(servers, topic, max_rows)).load()

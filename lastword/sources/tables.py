@@ -83,9 +83,17 @@ class Store:
         rows.write.mode("overwrite").parquet(f"{self.path(table)}/run={run}/batch={batch}")
 
     def read_runs(self, table: str, schema: T.StructType) -> DataFrame:
-        full = T.StructType(schema.fields + [T.StructField("run", T.StringType()),
-                                             T.StructField("batch", T.LongType())])
-        return self._read(table, full).drop("run")
+        """Rows of the batches that have a commit row."""
+        names = [T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())]
+        done = self._read("routed", T.StructType([T.StructField("done", T.BooleanType()), *names]))
+        rows = self._read(table, T.StructType(schema.fields + names))
+        return rows.join(done.select("run", "batch"), ["run", "batch"], "left_semi").drop("run")
+
+    def commit_run(self, run: str, batch: int) -> None:
+        self.write_run("routed", self.spark.range(1).select(F.lit(True).alias("done")), run, batch)
+
+    def routed(self, run: str, batch: int) -> bool:
+        return exists(self.spark, f"{self.path('routed')}/run={run}/batch={batch}/_SUCCESS")
 
     def commit(self, row: DataFrame, batch: int) -> None:
         self.write_batch("commits", row.coalesce(1), batch)
@@ -110,6 +118,15 @@ class Store:
         row = self.spark.read.parquet(f"{self.path('commits')}/batch={batch}").first()
         return batch, row["cursor"]
 
+    def last_run(self) -> tuple[str | None, int]:
+        """The run of the newest commit and its batch number in that run."""
+        batch = self._finished("commits")
+        if batch < 0:
+            return None, -1
+        plain = T.StructType(model.COMMIT.fields[1:])
+        row = self.spark.read.schema(plain).parquet(f"{self.path('commits')}/batch={batch}").first()
+        return row["run"], -1 if row["run_batch"] is None else row["run_batch"]
+
     def _committed(self, table: str, schema: T.StructType, after: int = -1) -> DataFrame:
         """Rows of committed batches. Batches commit in order, so one bound selects them, and it
         prunes folders."""
@@ -176,19 +193,25 @@ class Store:
         """Hiding accounts. Markers are compacted beside the state, in `markers/<gen>`."""
         return accounts.guards(accounts.account_status(self.current()), self.purge_markers())
 
-    def purge_markers(self) -> DataFrame:
+    def purge_markers(self, did: str | None = None, only: list[int] | None = None) -> DataFrame:
+        """Of all accounts, or of one, whose markers are in the buckets `only`."""
         gen, upto, _ = self.generation()
-        fresh = accounts.purge_markers(self.marker_log(after=upto))
+        fresh = accounts.purge_markers(self.marker_log(upto, did, only))
         if gen < 0:
             return fresh
         old = self.spark.read.parquet(f"{self.path('markers')}/{gen}")
+        if did is not None:
+            old = old.filter(F.col("did") == did)
         return old.unionByName(fresh).groupBy("did").agg(F.max("purge_seq").alias("purge_seq"))
 
-    def marker_log(self, after: int) -> DataFrame:
+    def marker_log(self, after: int, did: str | None = None,
+                   only: list[int] | None = None) -> DataFrame:
         """Marker rows since a batch, behind the newest compacted row of their key, so acceptance
         is judged against everything that came before."""
         kinds = F.col("entity_type").isin(S.ACCOUNT, S.SYNC)
-        before = (self.state_rows().filter(kinds).select(*model.LOG_FIELDS))
+        if did is not None:
+            kinds &= F.col("did") == did
+        before = (self.state_rows(only).filter(kinds).select(*model.LOG_FIELDS))
         return before.unionByName(self.records(after).filter(kinds).select(*model.LOG_FIELDS))
 
     def visible(self) -> DataFrame:
@@ -206,7 +229,7 @@ class Store:
         seen = current_state(self.current(only), entity_type, entity_id)
         if entity_type not in S.COLLECTIONS:
             return seen
-        mine = self.purge_markers().filter(F.col("did") == did)
+        mine = self.purge_markers(did, only)
         owned = seen.withColumn("did", F.lit(did)).withColumn(
             "row_key", F.lit(keys[0]))
         return accounts.unpurged(owned, mine).select(*model.EVENT_FIELDS)
