@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Wire constants, patterns and limits of the contract.
@@ -67,12 +65,3 @@ def stateful_conf() -> dict[str, str]:
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
-
-
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder every executor can reach: below spark.checkpoint.dir of the session."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir")
-    if not root:
-        raise ValueError("spark.checkpoint.dir is not set; pass a shared folder explicitly")
-    return os.path.join(root, name)
