@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -61,7 +62,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    del df
+    release(spark)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now: it does so for plans that neither
+    Python nor the driver's JVM holds any more, and else only when it happens to collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def ranked_counts(counts: DataFrame, group: list[str], order: list[str]) -> DataFrame:

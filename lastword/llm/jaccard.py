@@ -5,9 +5,10 @@ its candidates: over the candidates' inverted lists of its tokens, a document mu
 DivideSkip merges the short lists with a heap and counts; what reaches T less the number of long
 lists is probed in the long ones by binary search.
 
-Long posting lists are mostly groups of near copies: each list first takes one class as its pivot for
-all others, twice; then only classes of different components are still paired, all of them, so
-no link between components is lost.
+Long posting lists are shared passages or groups of near copies. A class stays in them only while enough
+of its tokens stand in classes of other components. Then lists take one class as the pivot of all
+others, a few times; what is left is paired completely over the rarest tokens that a link cannot do
+without, but for classes of one component, so no link between components is lost.
 
 Edge cases: null and empty texts, and texts without words, have no shingles and are their own component;
 repeated rows share a class and a component; null ids do not count as the smallest id unless the
@@ -29,7 +30,7 @@ from lastword.llm import frames
 from lastword.llm import setjoin as sj
 from lastword.llm.components import components
 
-PIVOTS = 2
+PIVOTS, KINDS = 3, 8  # turns of pivots; different pivots that lists take in a turn
 MU = 0.01  # weight of a list's length in DivideSkip's choice of long lists
 
 
@@ -110,7 +111,7 @@ def linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
 def pivot_pairs(lists: DataFrame, turn: int) -> DataFrame:
     """One member of each list with all its others of other components."""
     pivot = lists.groupBy("token").agg(
-        F.min_by(F.struct("a", "size", "component"), F.xxhash64("a", F.lit(turn))).alias("p"))
+        F.min_by(F.struct("a", "size", "component"), F.xxhash64("a", F.pmod("token", F.lit(KINDS)), F.lit(turn))).alias("p"))
     return (lists.join(pivot, "token")
             .where((F.col("a") != F.col("p.a")) & (F.col("component") != F.col("p.component"))
                    & sj.close(F.col("size"), F.col("p.size")))
@@ -118,7 +119,8 @@ def pivot_pairs(lists: DataFrame, turn: int) -> DataFrame:
 
 
 def all_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of members of different components that the length filter lets through."""
+    """All pairs of members of different components that share a token of these rows and that the length
+    filter lets through."""
     other = lists.select("token", F.col("a").alias("b"), F.col("size").alias("_size"),
                          F.col("component").alias("_component"))
     return (lists.join(other, "token")
@@ -127,13 +129,15 @@ def all_pairs(lists: DataFrame) -> DataFrame:
             .select("a", "b").distinct())
 
 
-def mixed(long: DataFrame, labels: DataFrame) -> DataFrame:
-    """Lists that still hold more than one component, each member with its component."""
-    known = (long.join(labels.withColumnRenamed("node", "a"), "a", "left")
+def mixed(long: DataFrame, labels: DataFrame, members: DataFrame) -> DataFrame:
+    """Lists that still hold more than one component, each member that can have a link to another one
+    with its component."""
+    known = (long.join(labels.select(sj.class_column("node").alias("a"), "component"), "a", "left")
              .withColumn("component", F.coalesce("component", "a")))
     open_ = (known.groupBy("token").agg(F.min("component").alias("_l"), F.max("component").alias("_h"))
              .where("_l <> _h").select("token"))
-    return frames.written(known.join(open_, "token", "left_semi"), "lists")
+    lists = frames.written(known.join(open_, "token", "left_semi"), "lists")
+    return frames.written(lists.join(sj.able(lists, members), "a", "left_semi"), "lists")
 
 
 def links_of(docs: DataFrame, text: str, units: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -141,17 +145,18 @@ def links_of(docs: DataFrame, text: str, units: DataFrame) -> tuple[DataFrame, D
     (node, component) of linked classes."""
     classes, tokens = sj.rarity(units)
     met = frames.written(sj.candidates(sj.postings(docs, text, sj.documents, classes, tokens), tokens), "met")
-    short = met.where("token IS NULL").select("a", "b").distinct()
-    long = met.where("token IS NOT NULL").select("a", "size", "token")
+    _, short, long = sj.surviving(met)
     members = sj.member_sets(docs, text, sj.documents,
                              short.select("a").union(short.select("b")).union(long.select("a")))
     links = linked(short, members)
     labels = components(links)
     for turn in range(PIVOTS + 1):
-        lists = mixed(long, labels)
+        lists = mixed(long, labels, members)
         if lists.isEmpty():
             break
-        pairs = pivot_pairs(lists, turn) if turn < PIVOTS else all_pairs(lists)
+        long = lists.select("a", "size", "token")
+        pairs = pivot_pairs(lists, turn) if turn < PIVOTS else all_pairs(
+            frames.written(sj.rarest_prefixes(lists, members), "prefixes"))
         links = links.union(linked(pairs, members))
         labels = components(links)
     return links, labels
@@ -167,7 +172,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     _, labels = links_of(docs, "text", units)
     full = rows.where("size > 0")
     of_class = (full.groupBy("one", "two").agg(F.min("doc_id").alias("least"))
-                .withColumn("node", sj.class_column()))
+                .withColumn("node", F.col("one")))
     tagged = of_class.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = tagged.groupBy("component").agg(F.min("least").alias("component_id"))
     named = tagged.join(smallest, "component").select("one", "two", "component_id")

@@ -2,8 +2,9 @@
 
 A unit (a document, a line) is its set of distinct shingles. Equal sets are one class. Tokens are
 ordered by how frequent a counting sketch of fixed size says they are, rarest first, then by hash: any
-order is exact as long as it is one order for all. Two sets of Jaccard similarity t share a token
-within their first n - ceil(t n) + 1 tokens, so only those are shuffled, packed by ranges of tokens.
+order is exact as long as it is one order for all. Two sets of Jaccard similarity t share at least l tokens
+within their first n - ceil(t n) + l tokens, so only those are shuffled, packed by ranges of tokens.
+With l = 1 + n / 16 the prefix is little longer, and a shared passage alone makes no candidate.
 
 A token with few classes gives its pairs at once. Classes of a longer list are returned as rows,
 so that the caller can settle most of them by one pivot before it looks at what is left. Tokens that
@@ -19,14 +20,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
+from pyspark.sql.window import Window
 
 from lastword.llm import frames, textops
 
 WORDS, NEED, OF = 5, 75, 100  # shingles of five words; similarity of 75 in 100 or more
 COUNTERS, PARTS = 1 << 18, 16
+SHARE = 16  # prefixes must share one token more for so many tokens of the set
 SHORT = 8  # lists up to this length give all their pairs at once
 HEAVY, HEAVY_TIMES = 1000, 4
 BUCKET_ENTRIES = 400_000
@@ -88,7 +91,7 @@ def class_id(one: np.ndarray) -> np.ndarray:
     return one & np.uint64((1 << CLASS_BITS) - 1)
 
 
-def class_column(one: str = "one") -> F.Column:
+def class_column(one: str = "one") -> Column:
     return F.col(one).bitwiseAND(F.lit((1 << CLASS_BITS) - 1))
 
 
@@ -157,8 +160,13 @@ def rarity(described_units: DataFrame) -> tuple[np.ndarray, int]:
     return classes, tokens
 
 
+def shared(size):
+    """How many tokens two prefixes share at least, by the smaller set's size (array or column)."""
+    return F.floor(size / SHARE).cast("long") + 1 if isinstance(size, Column) else size // SHARE + 1
+
+
 def prefix(size: np.ndarray) -> np.ndarray:
-    return size - (NEED * size + OF - 1) // OF + 1
+    return np.minimum(size, size - (NEED * size + OF - 1) // OF + shared(size))
 
 
 def postings(rows: DataFrame, text: str, cut: Cut, classes: np.ndarray, tokens: int) -> DataFrame:
@@ -230,8 +238,11 @@ def possible(size_a, size_b, at_a, at_b) -> np.ndarray:
 
 
 def candidates(packed: DataFrame, tokens: int) -> DataFrame:
-    """Pairs of classes (a, b, no token), and members of longer lists (a, size, token)."""
+    """Three kinds of rows: pairs of classes (a, b, their sizes, and n tokens that they share in short
+    lists); members of longer lists (a, size, token); and for each class n of its tokens that stand in
+    short lists with others (a, size, n)."""
     buckets = max(64, tokens // (4 * BUCKET_ENTRIES))
+    none = np.zeros(0, np.int64)
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
@@ -239,47 +250,74 @@ def candidates(packed: DataFrame, tokens: int) -> DataFrame:
         one = np.frombuffer(blobs, ENTRY if bucket >= 0 else HEAVY_ENTRY)
         token = one["token"].astype(np.int64)
         which = one["class_low"].astype(np.int64) | one["class_high"].astype(np.int64) << 32
-        size = one["size"].astype(np.int64)
-        if bucket < 0:
-            order = np.lexsort((which, token))
-            token, which, size = token[order], which[order], size[order]
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (which[1:] != which[:-1])
-            return rows_of([(which[new], size[new], token[new])], [])
-        at = one["at"].astype(np.int64)
         order = np.lexsort((which, token))
-        token, which, size, at = token[order], which[order], size[order], at[order]
+        token, which = token[order], which[order]
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (which[1:] != which[:-1])
-        token, which, size, at = token[new], which[new], size[new], at[new]
+        token, which, order = token[new], which[new], order[new]
+        size = one["size"].astype(np.int64)[order]
+        if bucket < 0:
+            return rows_of((which, size, token), none, none)
+        at = one["at"].astype(np.int64)[order]
         start = np.flatnonzero(np.diff(token, prepend=-1))
         length = np.diff(np.append(start, len(token)))
         run = np.repeat(length, length)
         long = run > SHORT
-        pairs = []
         short = (run > 1) & ~long
         token_s, which_s, size_s, at_s = token[short], which[short], size[short], at[short]
+        found = [(none,) * 4]
         for d in range(1, SHORT):
-            i = np.flatnonzero(token_s[:-d] == token_s[d:]) if len(token_s) > d else np.zeros(0, np.int64)
+            i = np.flatnonzero(token_s[:-d] == token_s[d:]) if len(token_s) > d else none
             i = i[possible(size_s[i], size_s[i + d], at_s[i], at_s[i + d])]
-            pairs.append((which_s[i], which_s[i + d]))
-        return rows_of([(which[long], size[long], token[long] * buckets + bucket)], pairs)
+            found.append((which_s[i], which_s[i + d], size_s[i], size_s[i + d]))
+        return rows_of((which[long], size[long], token[long] * buckets + bucket), which_s, size_s,
+                       *pairs(*(np.concatenate(x) for x in zip(*found))))
 
-    def rows_of(lists, pairs) -> pa.Table:
-        a, b = (np.concatenate(x) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
+    def pairs(a, b, size_a, size_b):
         order = np.lexsort((b, a))
-        a, b = a[order], b[order]
+        a, b, size_a, size_b = a[order], b[order], size_a[order], size_b[order]
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        a, b = a[new], b[new]
-        which, size, token = lists[0]
+        start = np.flatnonzero(new)
+        return np.stack([a[start], b[start]]), np.stack([size_a[start], size_b[start]]), np.diff(np.append(start, len(a)))
+
+    def rows_of(lists, which_s, size_s, ab=None, sizes=None, n=None) -> pa.Table:
+        which, size, token = lists
+        if ab is None or not len(ab):
+            ab, sizes, n = np.zeros((2, 0), np.int64), np.zeros((2, 0), np.int64), none
+        own, first, times = np.unique(which_s, return_index=True, return_counts=True)
+        gap = lambda k: pa.nulls(k, pa.int64())
         return pa.table({
-            "a": pa.array(np.concatenate([a, which])),
-            "b": pa.concat_arrays([pa.array(b), pa.nulls(len(which), pa.int64())]),
-            "size": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(size)]),
-            "token": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(token)])})
+            "a": pa.array(np.concatenate([ab[0], which, own])),
+            "size": pa.array(np.concatenate([sizes[0], size, size_s[first]])),
+            "b": pa.concat_arrays([pa.array(ab[1]), gap(len(which) + len(own))]),
+            "size_b": pa.concat_arrays([pa.array(sizes[1]), gap(len(which) + len(own))]),
+            "token": pa.concat_arrays([gap(len(n)), pa.array(token), gap(len(own))]),
+            "n": pa.concat_arrays([pa.array(n.astype(np.int64)), gap(len(which)), pa.array(times.astype(np.int64))])})
+
+    return packed.groupBy("bucket").applyInArrow(
+        meet, "a bigint, size bigint, b bigint, size_b bigint, token bigint, n bigint")
 
-    return packed.groupBy("bucket").applyInArrow(meet, "a bigint, b bigint, size bigint, token bigint")
+
+def surviving(met: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes (a), pairs (a, b) and list members (a, size, token) that may share as many tokens as they
+    must.
+
+    A class must share as many as its smallest possible partner asks for; a pair counts what it
+    shares in short lists, and at most what the two have in longer ones.
+    """
+    alive = frames.written(
+        met.where("b IS NULL").groupBy("a").agg(
+            F.max("size").alias("size"), F.sum(F.coalesce("n", F.lit(1))).alias("n"), F.count("token").alias("long"))
+        .where(F.col("n") >= shared(F.floor(F.col("size") * NEED / OF))).select("a", "long"), "alive")
+    other = alive.select(F.col("a").alias("b"), F.col("long").alias("long_b"))
+    pairs = (met.where("b IS NOT NULL").groupBy("a", "b")
+             .agg(F.sum("n").alias("n"), F.max("size").alias("size"), F.max("size_b").alias("size_b"))
+             .join(alive, "a").join(other, "b")
+             .where(F.col("n") + F.least("long", "long_b") >= shared(F.least("size", "size_b")))
+             .select("a", "b"))
+    long = met.where("token IS NOT NULL").select("a", "size", "token").join(alive, "a", "left_semi")
+    return alive.select("a"), frames.written(pairs, "pairs"), frames.written(long, "lists")
 
 
 def member_sets(rows: DataFrame, text: str, cut: Cut, members: DataFrame) -> DataFrame:
@@ -323,16 +361,56 @@ def member_sets(rows: DataFrame, text: str, cut: Cut, members: DataFrame) -> Dat
 
 
 def with_both_sets(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Each pair with both sides' sizes and tokens."""
+    """Each pair with both sides' sizes and tokens; a and b become the classes' 64-bit hashes."""
     def side(x: str) -> DataFrame:
-        return members.select(F.col("class").alias(x), F.col("size").alias(f"size_{x}"),
-                              F.col("tokens").alias(f"tokens_{x}"))
+        return members.select(F.col("class").alias(x), F.col("one").alias(f"id_{x}"),
+                              F.col("size").alias(f"size_{x}"), F.col("tokens").alias(f"tokens_{x}"))
 
     return pairs.join(side("b"), "b").join(side("a"), "a").select(
-        "a", "size_a", "tokens_a", "b", "size_b", "tokens_b")
+        F.col("id_a").alias("a"), "size_a", "tokens_a", F.col("id_b").alias("b"), "size_b", "tokens_b")
+
 
+def cross_tokens(lists: DataFrame, members: DataFrame) -> DataFrame:
+    """a, component, size, token and df: the tokens of the lists' members that stand in members of
+    several components, and in how many members. Linear in the members' tokens."""
+    of = lists.select("a", "component").distinct()
+    picked = members.join(of, members["class"] == of["a"]).select("a", "component", "size", "tokens")
+    frames.small_batches(lists.sparkSession)
 
-def close(size_a: F.Column, size_b: F.Column) -> F.Column:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(2).to_numpy()
+            tokens = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.int64)
+            spread = [pa.array(np.repeat(batch.column(k).to_numpy(), sizes)) for k in (0, 1, 2)]
+            yield pa.RecordBatch.from_arrays([*spread, pa.array(tokens)], ["a", "component", "size", "token"])
+
+    tokens = picked.mapInArrow(run, "a bigint, component bigint, size bigint, token bigint")
+    several = (tokens.groupBy("token").agg(F.min("component").alias("_l"), F.max("component").alias("_h"),
+                                           F.count("*").alias("df")).where("_l <> _h").select("token", "df"))
+    return tokens.join(several, "token")
+
+
+def able(lists: DataFrame, members: DataFrame) -> DataFrame:
+    """Members (a) of the lists that can still have a link to another component: as many of their tokens
+    as a link needs stand in some member of another component."""
+    return (cross_tokens(lists, members).groupBy("a").agg(F.count("*").alias("n"), F.max("size").alias("size"))
+            .where(F.col("n") * OF >= F.col("size") * NEED).select("a"))
+
+
+def rarest_prefixes(lists: DataFrame, members: DataFrame) -> DataFrame:
+    """a, component, size and token: of each member the rarest of its cross tokens, so many that a link
+    needs one of them. Two linked sets share at least ceil(t n) of the n_c cross tokens of either, so
+    n_c - ceil(t n) + 1 suffice, in one order for all. A member's tokens are ranked by themselves."""
+    tokens = cross_tokens(lists, members)
+    own = Window.partitionBy("a")
+    ranked = (tokens.withColumn("_n", F.count("*").over(own))
+              .withColumn("_rank", F.row_number().over(own.orderBy("df", "token"))))
+    need = F.ceil(F.col("size") * NEED / OF)
+    return (ranked.where(F.col("_rank") <= F.col("_n") - need + 1)
+            .select("a", "component", "size", "token"))
+
+
+def close(size_a: Column, size_b: Column) -> Column:
     """The length filter on columns."""
     return ((F.least(size_a, size_b) * OF >= F.greatest(size_a, size_b) * NEED)
             | (F.greatest(size_a, size_b) >= MOST))
