@@ -4,8 +4,9 @@ A line's tokens are its distinct shingles of five words (all its words, if fewer
 if an earlier line of the corpus, in its own document or another, has Jaccard similarity 0.75 or
 more with it, whether or not that one is removed itself. Order: doc_id, hash of the text, line. The
 join orders tokens by rarity and applies prefix, positional and length filters, then verifies
-(see setjoin). In a long posting list the earliest class is the pivot of all others; those that it
-does not remove are then compared with all earlier ones of the list.
+(see setjoin). In a long posting list an early class is the pivot of all later ones, a few times; those
+that no pivot removes and that share enough tokens with others are compared with all earlier ones
+that hold one of the rarest tokens a link cannot do without.
 
 Edge cases: lines without words are never removed, nor counted; null and empty texts have no lines;
 rows that repeat id and text are one document and get equal results; null ids come first; an empty
@@ -25,6 +26,7 @@ from lastword.llm import frames, textops
 from lastword.llm import setjoin as sj
 
 NOT_BREAK = np.arange(256) != 10
+PIVOTS, KINDS, ONE_IN = 2, 8, 8  # turns of pivots, pivots of a turn, members that a later turn picks from
 
 
 def cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -71,30 +73,50 @@ def later(links: DataFrame, firsts: DataFrame) -> DataFrame:
             .select(F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b")).alias("node")))
 
 
-def removed_classes(rows: DataFrame, text: str, units: DataFrame, firsts: DataFrame) -> DataFrame:
-    """node of every class whose first line has an earlier match."""
+def removed_classes(rows: DataFrame, text: str, units: DataFrame, of_class: DataFrame) -> DataFrame:
+    """one and two of every class whose first line has an earlier match."""
+    gone, firsts = removed_nodes(rows, text, units, of_class)
+    return firsts.join(gone, "node", "left_semi").select("one", "two", "first")
+
+
+def removed_nodes(rows: DataFrame, text: str, units: DataFrame,
+                  of_class: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes, tokens = sj.rarity(units)
     met = frames.written(sj.candidates(sj.postings(rows, text, lines, classes, tokens), tokens), "met")
-    short = met.where("token IS NULL").select("a", "b").distinct()
-    long = met.where("token IS NOT NULL").select("a", "size", "token")
+    alive, short, long = sj.surviving(met)
+    firsts = frames.written(of_class.withColumn("a", sj.class_column()).join(alive, "a", "left_semi"), "firsts")
     members = sj.member_sets(rows, text, lines,
                              short.select("a").union(short.select("b")).union(long.select("a")))
     gone = frames.written(later(verified(short, members), firsts).distinct(), "gone")
     if long.isEmpty():
-        return gone
-    named = frames.written(long.join(firsts, F.col("a") == F.col("node")).select("a", "size", "token", "first"), "lists")
-    pivot = named.groupBy("token").agg(F.min(F.struct("first", "a", "size")).alias("p"))
-    pairs = (named.join(pivot, "token").where((F.col("a") != F.col("p.a")) & sj.close(F.col("size"), F.col("p.size")))
-             .select(F.col("p.a").alias("a"), F.col("a").alias("b")).distinct())
-    pairs = pairs.join(gone.select(F.col("node").alias("b")), "b", "left_anti")
-    gone = gone.union(frames.written(verified(pairs, members).select(F.col("b").alias("node")).distinct(), "gone"))
+        return gone, firsts
+    named = frames.written(long.join(firsts, "a").select("a", "node", "size", "token", "first"), "lists")
+    for turn in range(PIVOTS):
+        # The earliest of all members first, then the earliest of one in so many.
+        some = named if not turn else named.where(
+            F.pmod(F.xxhash64("a", F.pmod("token", F.lit(KINDS)), F.lit(turn)), F.lit(ONE_IN)) == 0)
+        pivot = some.groupBy("token").agg(F.min(F.struct("first", "a", "size")).alias("p"))
+        pairs = (named.join(gone, "node", "left_anti").join(pivot, "token")
+                 .where((F.col("first") > F.col("p.first")) & sj.close(F.col("size"), F.col("p.size")))
+                 .select(F.col("p.a").alias("a"), F.col("a").alias("b")).distinct())
+        gone = frames.written(gone.union(later(verified(pairs, members), firsts)).distinct(), "gone")
+        # Lists without a line that may still have an earlier match are done.
+        still = named.join(gone, "node", "left_anti")
+        kept = named.join(still.select("token").distinct(), "token", "left_semi").withColumn("component", F.col("node"))
+        kept = frames.written(kept, "lists")
+        named = frames.written(kept.join(sj.able(kept, members), "a", "left_semi").drop("component"), "lists")
+        if named.isEmpty():
+            return gone, firsts
     # What no pivot removed is compared with every earlier class of its lists.
-    still = frames.written(named.join(gone.select(F.col("node").alias("a")), "a", "left_anti"), "lists")
+    keys = firsts.select("a", "node", "first")
+    named = frames.written(sj.rarest_prefixes(named.withColumn("component", F.col("node")), members)
+                           .drop("component").join(keys, "a"), "lists")
+    still = named.join(gone, "node", "left_anti")
     other = named.select("token", F.col("a").alias("b"), F.col("size").alias("_size"), F.col("first").alias("_first"))
     pairs = (still.join(other, "token").where((F.col("_first") < F.col("first"))
                                               & sj.close(F.col("size"), F.col("_size")))
              .select(F.col("b").alias("a"), F.col("a").alias("b")).distinct())
-    return gone.union(verified(pairs, members).select(F.col("b").alias("node"))).distinct()
+    return gone.union(later(verified(pairs, members), firsts)).distinct(), firsts
 
 
 def row_key() -> list[Column]:
@@ -110,11 +132,13 @@ def marked(docs: DataFrame) -> DataFrame:
     units = sj.described(rows, "text", ["__id", "__hash"], lines, "line")
     every = units.where("part IS NULL AND size > 0").select("__id", "__hash", "line", "one", "two")
     place = F.struct("__id", "__hash", "line")
-    of_class = frames.written(every.groupBy("one", "two").agg(F.min(place).alias("first"))
-                              .withColumn("node", sj.class_column()), "classes")
-    gone = removed_classes(rows, "text", units, of_class.select("node", "first"))
-    known = of_class.join(gone.withColumn("gone", F.lit(True)), "node", "left").select(
-        "one", "two", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
+    of_class = frames.written(every.groupBy("one", "two").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+                              .withColumn("node", F.col("one")), "classes")
+    gone = removed_classes(rows, "text", units, of_class)
+    # Only classes of several lines, or removed as a whole, have lines to remove.
+    known = (of_class.where("n > 1").select("one", "two", "first", F.lit(False).alias("gone"))
+             .unionByName(gone.withColumn("gone", F.lit(True)))
+             .groupBy("one", "two").agg(F.min("first").alias("first"), F.max("gone").alias("gone")))
     return (every.join(known, ["one", "two"]).where(F.col("gone") | (place != F.col("first")))
             .groupBy("__id", "__hash").agg(F.array_sort(F.collect_set("line")).alias("__lines")))
 
@@ -122,9 +146,10 @@ def marked(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame, counts: bool = False) -> DataFrame:
     """docs with their columns and without removed lines; on demand with __n_lines and __n_removed."""
     columns = docs.columns
-    drop = marked(docs).select(F.col("__id").alias("_i"), F.col("__hash").alias("_h"), "__lines")
+    drop = frames.written(marked(docs).select(F.col("__id").alias("__i"), F.col("__hash").alias("__h"), "__lines"),
+                          "removed-lines")
     keyed = docs.select(*[F.col(f"`{c}`") for c in columns], *row_key())
-    joined = (keyed.join(drop, F.col("__id").eqNullSafe(F.col("_i")) & (F.col("__hash") == F.col("_h")), "left")
+    joined = (keyed.join(drop, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__hash") == F.col("__h")), "left")
               .select(*[F.col(f"`{c}`") for c in columns], "__lines"))
     schema = joined.drop("__lines").schema.add("__n_lines", "long").add("__n_removed", "long")
     at = columns.index("text")
