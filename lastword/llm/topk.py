@@ -1,7 +1,7 @@
 """Exact top-k search by inner product over an impact-ordered index, score at a time.
 
 Rows of the index are blocks of vectors. In a block every dimension has its vectors sorted by value
-and cut into segments of equal quantised impact. For a query, segments of all dimensions are
+and cut into segments, whose bound is their quantised impact. For a query, segments of all dimensions are
 processed by descending impact (the query's weight times the segment's bound, above the least that
 the dimension can add); scores grow segment by segment. It stops only when it is proven that
 few vectors can still be among the k best; those are rescored exactly.
@@ -26,10 +26,10 @@ from pyspark.sql.window import Window
 from lastword.llm import frames
 
 SCALE, K, EVERY = 1024, 10, 100
-BLOCK, QUERY_BLOCK = 8192, 256
-SEGMENT = 64  # postings of a segment, at least
+BLOCK, QUERY_BLOCK = 8192, 512
+SEGMENT, SEGMENTS = 64, 32  # postings of a segment at least; segments of a dimension at most
 FEW = 64  # possible members at which rescoring is cheaper than more segments
-ROUND = 128  # segments between two proofs
+ROUNDS = 24  # proofs are tried after each of so many shares of the segments
 LIMIT = 1 << 24  # larger components are not representable: products must stay within 64 bits
 
 
@@ -59,67 +59,58 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
                      pa.array([ids[mine].tobytes()]), pa.array([table.tobytes()])],
                     ["block", "dims", "ids", "values"])
 
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    frames.small_batches(rows.sparkSession, size)
     return rows.mapInArrow(run, "block bigint, dims int, ids binary, values binary")
 
 
 class Index:
-    """Segments of one block: postings of each dimension by value, cut where the quantum changes."""
+    """Segments of one block: postings of each dimension by value, cut into runs of equal length."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.values = ids[order], values[order]
-        n, dims = self.values.shape
-        step = max(SEGMENT, -(-n // 32))
-        cuts = np.arange(0, n, step)
-        self.cuts = np.append(cuts, n)
-        self.post = np.argsort(self.values, axis=0, kind="stable").T.copy()  # rising, by dimension
-        ranked = np.take_along_axis(self.values.T, self.post, 1)
-        self.low, self.high = ranked[:, cuts], ranked[:, self.cuts[1:] - 1]
-        self.n, self.dims = n, dims
-
-    def search(self, query: np.ndarray, own: int, k: int, floor: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of all that may be among the k best and reach `floor`, if given."""
+        self.ids, self.values = ids, values
+        self.n, self.dims = values.shape
+        step = max(SEGMENT, -(-self.n // SEGMENTS))
+        cuts = np.arange(0, self.n, step)
+        post = np.argsort(values, axis=0, kind="stable").T
+        ranked = np.take_along_axis(values.T, post, 1).astype(np.int64)
+        self.low, self.high = ranked[:, cuts], ranked[:, np.append(cuts[1:], self.n) - 1]
+        padded = np.full((self.dims, len(cuts) * step), self.n, np.int64)  # the last run may be short
+        padded[:, :self.n] = post
+        self.postings = padded.reshape(-1, step)
+        worths = np.zeros(padded.shape)
+        worths[:, :self.n] = ranked
+        self.worths = worths.reshape(-1, step)
+
+    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact scores of all that may be among the k best but `own`."""
         weight = query.astype(np.int64)[:, None]
-        bounds = np.stack([weight * self.low, weight * self.high])
-        most, sure = bounds.max(0), bounds.min(0)  # what a posting of the segment adds
-        least = sure.min(1)
-        gain = most - least[:, None]
-        order = np.argsort(-gain, axis=None, kind="stable")
-        dim, seg = np.unravel_index(order, gain.shape)
-        left = gain.max(1)  # by dimension, what an unseen posting can still add above its least
-        base, total = int(least.sum()), int(left.sum())
-        low = np.zeros(self.n, np.int64)  # of the seen postings, sure gain
-        span = np.zeros(self.n, np.int64)  # of the seen postings, most minus sure
-        seen_left = np.zeros(self.n, np.int64)
+        ends = weight * self.low, weight * self.high
+        least = np.minimum(*ends).min(1, keepdims=True)
+        gain = (np.maximum(*ends) - least).ravel().astype(np.float64)  # a segment's impact
+        order = np.argsort(-gain, kind="stable")
+        factor = np.repeat(query.astype(np.float64), len(gain) // self.dims)
+        base = np.repeat(least[:, 0].astype(np.float64), len(gain) // self.dims)
+        ahead = gain.reshape(self.dims, -1).copy()
+        total = np.zeros(self.n + 1)  # what was seen adds above the least of its dimensions
         alive = self.ids != own
-        size = len(order)
-        # The proof weighs what each vector has not been seen in against the next segments' gain.
-        seen = np.zeros((self.n, self.dims), bool)
-        for at in range(0, size, ROUND):
-            for d, s in zip(dim[at:at + ROUND].tolist(), seg[at:at + ROUND].tolist()):
-                who = self.post[d, self.cuts[s]:self.cuts[s + 1]]
-                low[who] += sure[d, s] - least[d]
-                span[who] += most[d, s] - sure[d, s]
-                seen[who, d] = True
-            done = at + ROUND >= size
-            if not done:
-                ahead = np.zeros(self.dims, np.int64)
-                np.maximum.at(ahead, dim[at + ROUND:], gain[dim[at + ROUND:], seg[at + ROUND:]])
-                total = int(ahead.sum())
-                seen_left = seen @ ahead
-                upper = low + span + total - seen_left + base
-            else:
-                upper = low + span + base
-            lower = low + base
-            live = np.flatnonzero(alive)
-            bar = floor if floor is not None else -(1 << 62)
-            if len(live) >= k:
-                bar = max(bar, int(np.partition(lower[live], len(live) - k)[len(live) - k]))
-            possible = live[upper[live] >= bar]
-            if done or len(possible) <= FEW:
-                return self.ids[possible], self.values[possible].astype(np.int64) @ query.astype(np.int64)
-        return self.ids[:0], np.zeros(0, np.int64)
+        turn = -(-len(order) // ROUNDS)
+        for at in range(0, len(order), turn):
+            now = order[at:at + turn]
+            adds = self.worths[now] * factor[now, None] - base[now, None]
+            total += np.bincount(self.postings[now].ravel(), adds.ravel(), self.n + 1)
+            ahead.ravel()[now] = 0
+            last = at + turn >= len(order)
+            if not last and at < len(order) // 3:
+                continue  # a proof this early would fail
+            # What is unseen of a dimension adds at most the impact of its next segment.
+            bound = float(ahead.max(1).sum())
+            live = total[:-1][alive]
+            bar = np.partition(live, len(live) - k)[len(live) - k] if len(live) > k else -np.inf
+            slack = 1e-9 * (abs(bar) + bound + 1) if len(live) > k else 0.0  # sums are rounded
+            possible = np.flatnonzero(alive & (total[:-1] + bound + slack >= bar))
+            if last or len(possible) <= FEW:
+                break
+        return self.ids[possible], self.values[possible].astype(np.int64) @ query.astype(np.int64)
 
 
 def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
@@ -139,14 +130,13 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     pairs = asks.join(index, ["dims", "room", "part"]).select("dims", "query_ids", "queries", "ids", "values")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floors: dict[int, int] = {}
         for batch in batches:
             for dims, query_ids, wanted, ids, values in zip(*(c.to_pylist() for c in batch.columns)):
                 of_block = Index(np.frombuffer(ids, np.int64), np.frombuffer(values, np.int32).reshape(-1, dims))
                 table = np.frombuffer(wanted, np.int32).reshape(-1, dims)
                 out: list[tuple[int, np.ndarray, np.ndarray]] = []
                 for query_id, query in zip(np.frombuffer(query_ids, np.int64).tolist(), table):
-                    who, score = of_block.search(query, query_id, k, None)
+                    who, score = of_block.search(query, query_id, k)
                     best = np.lexsort((who, -score))[:k]
                     out.append((query_id, who[best], score[best]))
                 sizes = [len(x[1]) for x in out]
@@ -155,7 +145,7 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
                      pa.array(np.concatenate([x[1] for x in out])),
                      pa.array(np.concatenate([x[2] for x in out]))], ["query_id", "vec_id", "score"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 8)
+    frames.small_batches(spark, 8)
     found = frames.written(pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint"), "topk-found")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
