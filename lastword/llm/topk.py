@@ -9,8 +9,8 @@ few vectors can still be among the k best; those are rescored exactly.
 Candidate blocks and query blocks meet in a grid join of equal keys, so neither is broadcast.
 
 Edge cases: vectors that are null, empty, or hold null, non-finite or unrepresentable components take
-no part; vectors of different length never meet; null ids take no part; repeated rows are candidates
-each; ties go to the smaller vec_id; an empty table gives no rows; other columns are ignored.
+no part; vectors of different length never meet; null ids take no part; repeated rows are searched and
+are candidates each, and only a query's own row is left out of its list; ties go to the smaller vec_id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,20 +34,22 @@ LIMIT = 1 << 24  # larger components are not representable: products must stay w
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """vec_id and the integer components of every vector that takes part."""
+    """vec_id and the integer components of every vector that takes part, and a written number of its row:
+    an id may stand in several rows."""
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x)
                     & (F.abs(x.cast("double") * SCALE) < LIMIT))
-    return (vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("v"))
+    rows = (vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("v"))
             .where(F.col("vec_id").isNotNull() & (F.size("v") > 0) & fine)
             .select("vec_id", F.transform("v", lambda x: F.floor(x.cast("double") * SCALE)
                                           .cast("int")).alias("v")))
+    return frames.written(rows.withColumn("row", F.monotonically_increasing_id()), "topk-rows")
 
 
 def packed(rows: DataFrame, size: int) -> DataFrame:
-    """Blocks of at most `size` vectors of equal length: block, dims, ids and values as bytes."""
+    """Blocks of at most `size` vectors of equal length: block, dims, rows, ids and values as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lists = batch.column(0).to_numpy(), batch.column(1)
+            ids, lists, rows_ = batch.column(0).to_numpy(), batch.column(1), batch.column(2).to_numpy()
             width = np.diff(lists.offsets.to_numpy())
             values = lists.flatten().to_numpy().astype(np.int32)
             begin = np.concatenate([[0], np.cumsum(width)])
@@ -55,19 +57,20 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
                 mine = np.flatnonzero(width == dims)
                 table = values[begin[mine][:, None] + np.arange(dims)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(ids[mine[0]])]), pa.array([int(dims)], pa.int32()),
-                     pa.array([ids[mine].tobytes()]), pa.array([table.tobytes()])],
-                    ["block", "dims", "ids", "values"])
+                    [pa.array([int(rows_[mine[0]])]), pa.array([int(dims)], pa.int32()),
+                     pa.array([rows_[mine].tobytes()]), pa.array([ids[mine].tobytes()]), pa.array([table.tobytes()])],
+                    ["block", "dims", "rows", "ids", "values"])
 
     frames.small_batches(rows.sparkSession, size)
-    return rows.mapInArrow(run, "block bigint, dims int, ids binary, values binary")
+    return rows.select("vec_id", "v", "row").mapInArrow(
+        run, "block bigint, dims int, rows binary, ids binary, values binary")
 
 
 class Index:
     """Segments of one block: postings of each dimension by value, cut into runs of equal length."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray):
-        self.ids, self.values = ids, values
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, values: np.ndarray):
+        self.rows, self.ids, self.values = rows, ids, values
         self.n, self.dims = values.shape
         step = max(SEGMENT, -(-self.n // SEGMENTS))
         cuts = np.arange(0, self.n, step)
@@ -82,7 +85,7 @@ class Index:
         self.worths = worths.reshape(-1, step)
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of all that may be among the k best but `own`."""
+        """Ids and exact scores of all that may be among the k best but the row `own`."""
         weight = query.astype(np.int64)[:, None]
         ends = weight * self.low, weight * self.high
         least = np.minimum(*ends).min(1, keepdims=True)
@@ -92,7 +95,7 @@ class Index:
         base = np.repeat(least[:, 0].astype(np.float64), len(gain) // self.dims)
         ahead = gain.reshape(self.dims, -1).copy()
         total = np.zeros(self.n + 1)  # what was seen adds above the least of its dimensions
-        alive = self.ids != own
+        alive = self.rows != own
         turn = -(-len(order) // ROUNDS)
         for at in range(0, len(order), turn):
             now = order[at:at + turn]
@@ -114,40 +117,50 @@ class Index:
 
 
 def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score of the k best candidates of each query but itself."""
+    """query_id, rank, vec_id, score of the k best candidates of each query row but itself.
+
+    Both tables are parts of one result of `usable`: a row has the same number in each.
+    """
     spark = queries.sparkSession
     n, asked = candidates.count(), queries.count()
     slots = max(1, -(-n // BLOCK))
     parts = max(1, -(-asked // QUERY_BLOCK))
-    index = frames.written(packed(candidates.repartition(slots, "vec_id"), BLOCK), "topk-index")
-    asks = packed(queries.repartition(parts, "vec_id"), QUERY_BLOCK)
+    index = frames.written(packed(candidates.repartition(slots, "row"), BLOCK), "topk-index")
+    asks = packed(queries.repartition(parts, "row"), QUERY_BLOCK)
     rooms = max(1, min(slots, 4096))
-    asks = asks.select(F.col("dims"), F.col("ids").alias("query_ids"), F.col("values").alias("queries"),
+    asks = asks.select(F.col("dims"), F.col("rows").alias("query_rows"), F.col("ids").alias("query_ids"),
+                       F.col("values").alias("queries"),
                        F.explode(F.sequence(F.lit(0), F.lit(rooms - 1))).alias("room"),
                        F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int").alias("part"))
-    index = index.select("dims", "ids", "values", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+    index = index.select("dims", "rows", "ids", "values",
+                         F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
                          F.pmod(F.xxhash64("block"), F.lit(rooms)).cast("int").alias("room"))
-    pairs = asks.join(index, ["dims", "room", "part"]).select("dims", "query_ids", "queries", "ids", "values")
+    pairs = asks.join(index, ["dims", "room", "part"]).select(
+        "dims", "query_rows", "query_ids", "queries", "rows", "ids", "values")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for dims, query_ids, wanted, ids, values in zip(*(c.to_pylist() for c in batch.columns)):
-                of_block = Index(np.frombuffer(ids, np.int64), np.frombuffer(values, np.int32).reshape(-1, dims))
+            for dims, query_rows, query_ids, wanted, rows, ids, values in zip(*(c.to_pylist() for c in batch.columns)):
+                of_block = Index(np.frombuffer(rows, np.int64), np.frombuffer(ids, np.int64),
+                                 np.frombuffer(values, np.int32).reshape(-1, dims))
                 table = np.frombuffer(wanted, np.int32).reshape(-1, dims)
-                out: list[tuple[int, np.ndarray, np.ndarray]] = []
-                for query_id, query in zip(np.frombuffer(query_ids, np.int64).tolist(), table):
-                    who, score = of_block.search(query, query_id, k)
+                query_rows, query_ids = np.frombuffer(query_rows, np.int64), np.frombuffer(query_ids, np.int64)
+                out: list[tuple[np.ndarray, np.ndarray]] = []
+                for own, query in zip(query_rows.tolist(), table):
+                    who, score = of_block.search(query, own, k)
                     best = np.lexsort((who, -score))[:k]
-                    out.append((query_id, who[best], score[best]))
-                sizes = [len(x[1]) for x in out]
+                    out.append((who[best], score[best]))
+                sizes = [len(who) for who, _ in out]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([x[0] for x in out], sizes).astype(np.int64)),
-                     pa.array(np.concatenate([x[1] for x in out])),
-                     pa.array(np.concatenate([x[2] for x in out]))], ["query_id", "vec_id", "score"])
+                    [pa.array(np.repeat(query_rows, sizes)), pa.array(np.repeat(query_ids, sizes)),
+                     pa.array(np.concatenate([who for who, _ in out])),
+                     pa.array(np.concatenate([score for _, score in out]))],
+                    ["query_row", "query_id", "vec_id", "score"])
 
     frames.small_batches(spark, 8)
-    found = frames.written(pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint"), "topk-found")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = frames.written(pairs.mapInArrow(run, "query_row bigint, query_id bigint, vec_id bigint, score bigint"),
+                           "topk-found")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 

@@ -236,6 +236,29 @@ def test_search(spark):
     assert topk.search(none, none).count() == 0
 
 
+def top_of_rows(rows, k=10):
+    """As top, but a query leaves out its own row only, not the others of its id."""
+    ok = [(i, [int(np.floor(1024 * float(x))) for x in v]) for i, v in rows]
+    out = []
+    for at, (i, q) in enumerate(ok):
+        if i % 100 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for n, (j, v) in enumerate(ok)
+                            if n != at and len(v) == len(q))
+            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scores[:k])]
+    return sorted(out, key=str)
+
+
+def test_search_of_repeated_ids(spark):
+    rng = random.Random(6)
+    rows = [(i, [round(rng.gauss(0, 1), 1) for _ in range(6)]) for i in range(1, 60)]
+    rows += [(100, [1.0, 0.5, 0.0, -1.0, 0.0, 2.0])] * 2 + [(200, [0.5] * 6)] * 12  # equal rows
+    rows += [(300, [float(j == n) for n in range(6)]) for j in range(4)]  # different rows of one id
+    rows += [(7, [2.0] * 6)] * 3
+    every = topk.usable(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3))
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    assert tuples(topk.search(every.where("vec_id % 100 = 0"), every)) == top_of_rows(rows)
+
+
 def test_search_equals_brute_force_on_the_table(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
     assert tuples(catalogue.QUERIES["op4_topk"](spark, FOLDER)) == top(rows)
