@@ -259,6 +259,26 @@ def test_search_of_repeated_ids(spark):
     assert tuples(topk.search(every.where("vec_id % 100 = 0"), every)) == top_of_rows(rows)
 
 
+def test_search_of_large_components(spark):
+    rng = random.Random(7)
+    rows = [(i, [rng.gauss(0, 10.0 ** rng.choice((0, 3, 5, 9, 20, 37))) for _ in range(6)]) for i in range(1, 900)]
+    rows += [(1000, [16384.0] + [0.0] * 5), (1001, [-16384.0] + [0.0] * 5), (1002, [16383.5] * 6), (1100, [0.0] * 6),
+             (1200, [3e38] * 6), (1300, [-3e38] * 6), (1301, [float("inf")] * 6), (1302, [3e38] * 6)]
+    for kind, cast in (("float", np.float32), ("double", float)):
+        extra = [(1400, [1e308] * 6), (1401, [-1.7e308] * 6), (1402, [1e200] * 6)] if kind == "double" else []
+        table = spark.createDataFrame(rows + extra, f"vec_id long, embedding array<{kind}>").repartition(3)
+        every = topk.usable(table)
+        found = tuples(topk.search(every.where("vec_id % 100 = 0"), every))
+        want = []
+        ok = [(i, [int(x * 1024 // 1) if abs(x) < 2**53 else int(x) * 1024 for x in v]) for i, v in
+              ((i, [float(cast(x)) for x in v]) for i, v in rows + extra) if np.isfinite(v).all()]
+        for i, q in ok:
+            if i % 100 == 0:
+                scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in ok if j != i)
+                want += [(i, n + 1, j, -s if abs(s) < 2**63 else None) for n, (s, j) in enumerate(scores[:10])]
+        assert found == sorted(want, key=str)
+
+
 def test_search_equals_brute_force_on_the_table(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
     assert tuples(catalogue.QUERIES["op4_topk"](spark, FOLDER)) == top(rows)
