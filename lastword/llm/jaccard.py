@@ -163,8 +163,8 @@ def links_of(docs: DataFrame, text: str, units: DataFrame) -> tuple[DataFrame, D
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, text_hash and class_id (of equal sets; null without
-    shingles)."""
+    """Per row: doc_id, n_shingles, component_id, text_hash, class_id (of equal sets) and component (its own
+    number, as ids may repeat); the last two are null without shingles."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                        F.col(text).alias("text"))
     units = sj.described(docs, "text", ["doc_id", "text_hash"], sj.documents)
@@ -175,26 +175,31 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                 .withColumn("node", F.col("one")))
     tagged = of_class.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = tagged.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = tagged.join(smallest, "component").select("one", "two", "component_id")
+    named = tagged.join(smallest, "component").select("one", "two", "component_id", "component")
     size = F.col("size").alias("n_shingles")
     joined = full.join(named, ["one", "two"]).select(
-        "doc_id", size, "component_id", "text_hash", F.col("one").alias("class_id"))
+        "doc_id", size, "component_id", "text_hash", F.col("one").alias("class_id"), "component")
     return joined.unionByName(rows.where("size = 0").select(
         "doc_id", size, F.col("doc_id").alias("component_id"), "text_hash",
-        F.lit(None).cast("long").alias("class_id")))
+        F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("component")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay when of each component the document of the smallest id stays.
+    """The rows of docs that stay when of each component one document stays: that of the smallest id, of the
+    smallest hash of the text among several of that id or where none has an id.
 
-    Documents without shingles stay. Of rows that repeat id and text one stays. A component without
-    any id keeps its different texts.
+    Documents without shingles stay. Of rows that repeat id and text one stays.
     """
     columns = docs.columns
     keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64("text")})
     key = ["__id", "__hash"]
-    gone = (join(docs).where("n_shingles > 0 AND component_id IS NOT NULL AND NOT doc_id <=> component_id")
-            .select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h")).distinct())
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    rows = frames.written(join(docs).where("n_shingles > 0").select("component", place.alias("place")).distinct(),
+                          "places")
+    several = (rows.groupBy("component").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+               .where("n > 1").select("component", "first"))
+    gone = (rows.join(several, "component").where("NOT place <=> first")
+            .select(F.col("place.doc_id").alias("_i"), F.col("place.text_hash").alias("_h")))
     left = keyed.join(gone, F.col("__id").eqNullSafe(F.col("_i")) & (F.col("__hash") == F.col("_h")), "left_anti")
     twice = frames.written(keyed.where("trim(text) <> ''").groupBy(*key).count().where("count > 1")
                            .select(F.col("__id").alias("_i"), F.col("__hash").alias("_h")), "repeated")

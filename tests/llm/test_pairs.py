@@ -5,7 +5,7 @@ import hashlib
 import brute
 import numpy as np
 import pytest
-from conftest import REPEATED
+from conftest import REPEATED, frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from lastword.llm import jaccard, lines, repeats, setjoin, suffixes
@@ -44,6 +44,19 @@ def test_jaccard_keeps_one_of_repeated_rows(repeated):
     assert left.count(60) == 1 and left.count(None) >= 2
 
 
+def test_jaccard_keeps_one_text_of_a_repeated_or_missing_id(spark):
+    words = [f"w{n}" for n in range(80)]
+    near = lambda x: " ".join(words[:-1] + [x])
+    far = lambda x: " ".join(f"{x}{n}" for n in range(60))
+    given_rows = [(5, near("a")), (5, near("b")), (7, near("c")), (None, near("d")), (5, far("own")),
+                  (None, far("z")), (None, far("z") + " end"), (9, far("y")), (None, far("y") + " end")]
+    left = [(r.doc_id, r.text) for r in jaccard.keep_one(frame(spark, given_rows)).collect()]
+    assert len(left) == 4
+    assert sum(i == 5 and t in (near("a"), near("b")) for i, t in left) == 1
+    assert (5, far("own")) in left and (9, far("y")) in left
+    assert sum(i is None and t.startswith("z0") for i, t in left) == 1
+
+
 def test_divide_skip_is_the_overlap_test():
     rng = np.random.default_rng(1)
     for _ in range(60):
