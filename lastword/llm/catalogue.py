@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lastword.llm import decontaminate
+from lastword.llm import audit, decontaminate
+from lastword.llm.audit import op12_filters
 from lastword.llm.decontaminate import op6_decontamination
 from lastword.llm.extract import op3_extract
 from lastword.llm.jaccard import op9_jaccard
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
+    "op12_filters": op12_filters,
     "pipeline": corpus_pipeline.run,
 }
-SQL: dict[str, str] = {"op6_decontamination": decontaminate.SQL}
+SQL: dict[str, str] = {"op6_decontamination": decontaminate.SQL, "op12_filters": audit.SQL}
