@@ -13,6 +13,7 @@ from lastword.llm.decontaminate import op6_decontamination
 from lastword.llm.extract import op3_extract
 from lastword.llm.jaccard import op9_jaccard
 from lastword.llm.lines import op1_lines
+from lastword.llm.minhash import op13_minhash
 from lastword.llm.packing import op5_packing
 from lastword.llm.quality import op10_quality
 from lastword.llm.repeats import op2_repeats
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
     "op12_filters": op12_filters,
+    "op13_minhash": op13_minhash,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {"op6_decontamination": decontaminate.SQL, "op12_filters": audit.SQL}
