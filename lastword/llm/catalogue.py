@@ -20,6 +20,7 @@ from lastword.llm.repeats import op2_repeats
 from lastword.llm.sharding import op7_sharding
 from lastword.llm.topk import op4_topk
 from lastword.llm.urls import op8_urls
+from lastword.llm.variants import op11_variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
+    "op11_variants": op11_variants,
     "op12_filters": op12_filters,
     "op13_minhash": op13_minhash,
     "pipeline": corpus_pipeline.run,
