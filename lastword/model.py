@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 EVENT = T.StructType([
@@ -33,6 +35,14 @@ RECORDS_LOG = T.StructType(
      T.StructField("did", T.StringType())] + EVENT.fields)
 LOG_FIELDS = RECORDS_LOG.fieldNames()
 
+# Arrival over several partitions of a topic: offsets repeat there, the three together do not.
+ARRIVAL = ("arrived_ms", "partition", "offset")
+
+
+def order_of(columns: Sequence[str]) -> tuple[str, ...]:
+    """The columns that say in which order rows with these columns arrived."""
+    return ARRIVAL if set(ARRIVAL) <= set(columns) else ("offset",)
+
 QUARANTINE = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("raw", T.StringType()),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lastword import model
 from lastword.operators.scan import running_max_before
 
 
@@ -12,9 +15,13 @@ def newer(revision: Column, stored: Column) -> Column:
     return stored.isNull() | (revision > stored)
 
 
-def accepted(log: DataFrame, chunk_rows: int | None = None) -> DataFrame:
-    """Rows that were newer than everything that had arrived for their key."""
-    judged = running_max_before(log, ["row_key"], "offset", "revision", "_stored", chunk_rows)
+def accepted(log: DataFrame, chunk_rows: int | None = None, slot_ms: int | None = None) -> DataFrame:
+    """Rows that were newer than everything that had arrived for their key.
+
+    A log with the arrival columns of a partitioned topic is judged in their composite order.
+    """
+    judged = running_max_before(log, ["row_key"], model.order_of(log.columns), "revision", "_stored",
+                                chunk_rows, slot_ms)
     return judged.filter(newer(F.col("revision"), F.col("_stored"))).drop("_stored")
 
 
@@ -24,15 +31,17 @@ def newest(log: DataFrame, key: str = "row_key") -> DataFrame:
     `max_by` combines before the shuffle, so a hot key costs one row per input task.
     """
     rest = [name for name in log.columns if name != key]
-    best = F.max_by(F.struct(*rest), F.struct(F.col("revision"), -F.col("offset")))
+    first = [-F.col(name) for name in model.order_of(log.columns)]
+    best = F.max_by(F.struct(*rest), F.struct(F.col("revision"), *first))
     return (log.groupBy(key).agg(best.alias("_row"))
             .select(key, *[F.col(f"_row.{name}").alias(name) for name in rest])
             .select(*log.columns))
 
 
-def first_arrivals(rows: DataFrame, keys: list[str], order: str = "offset") -> DataFrame:
+def first_arrivals(rows: DataFrame, keys: list[str], order: str | Sequence[str] = "offset") -> DataFrame:
     """One row per key, the earliest in arrival order."""
     rest = [name for name in rows.columns if name not in keys]
-    return (rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row"))
+    place = order if isinstance(order, str) else F.struct(*order)
+    return (rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), place).alias("_row"))
             .select(*keys, *[F.col(f"_row.{name}").alias(name) for name in rest])
             .select(*rows.columns))

@@ -7,7 +7,7 @@ parts of one report share their shuffles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lastword.functions import contract, instants, messages
 from lastword.operators.newest import first_arrivals
@@ -121,10 +121,8 @@ def minute_rates(minutes: DataFrame) -> DataFrame:
     """
     per = minutes.groupBy("minute").agg(F.sum("messages").alias("messages"),
                                         F.sum("bytes").alias("bytes"))
-    ends = Window.partitionBy()  # one row per minute of the sample
-    full = (per.withColumn("_first", F.min("minute").over(ends))
-            .withColumn("_last", F.max("minute").over(ends))
-            .filter((F.col("minute") > F.col("_first")) & (F.col("minute") < F.col("_last"))))
+    ends = minutes.agg(F.min("minute").alias("first"), F.max("minute").alias("last")).first()
+    full = per.filter((F.col("minute") > F.lit(ends["first"])) & (F.col("minute") < F.lit(ends["last"])))
     measures = full.select(F.explode(F.array(
         F.struct(F.lit("messages").alias("measure"), F.col("messages").alias("amount")),
         F.struct(F.lit("bytes").alias("measure"), F.col("bytes").alias("amount"))))
@@ -147,8 +145,7 @@ def source_lag(unique: DataFrame) -> DataFrame:
     """Seconds from source time to receipt over unique commits: median, p95, max."""
     picks = {"low": low_pick(0.5), "high": high_pick(0.5), "p95": index_pick(0.95),
              "largest": lambda n: n - 1}
-    # A cell is one second wide.
-    stats = order_statistics(lags(unique), "lag_us", picks, cell_width=1_000_000)
+    stats = order_statistics(lags(unique), "lag_us", picks)
     return stats.select(F.col("n").alias("commits"),
                         (middle(F.col("low"), F.col("high")) / 1e6).alias("median_s"),
                         (F.col("p95") / 1e6).alias("p95_s"), (F.col("largest") / 1e6).alias("max_s"))
@@ -157,7 +154,7 @@ def source_lag(unique: DataFrame) -> DataFrame:
 def lag_percentiles(unique: DataFrame, shares: list[float]) -> DataFrame:
     """Index percentiles of the lag, one row per share."""
     picks = {f"p{i}": index_pick(q) for i, q in enumerate(shares)}
-    stats = order_statistics(lags(unique), "lag_us", picks, cell_width=1_000_000)
+    stats = order_statistics(lags(unique), "lag_us", picks)
     return stats.select(F.explode(F.array(*[
         F.struct(F.lit(q).alias("share"), F.col(f"p{i}").alias("lag_us"))
         for i, q in enumerate(shares)])).alias("_s")).select("_s.*")

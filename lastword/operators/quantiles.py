@@ -1,49 +1,91 @@
-"""Exact order statistics without gathering a group's values in one task."""
+"""Exact order statistics by radix selection, without gathering a group's values in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-CELL = 65_536
+from lastword.sources.scratch import cut
+
+DIGIT = 16  # bits that one level looks at: a group has at most 65,536 cells there
+_FRACTION = 2.0 ** 52
+_LEAST_NORMAL = 2.0 ** -1022
+_INFINITE = 0x7FF << 52
+
+
+def ordered_bits(value: Column) -> Column:
+    """A bigint that orders doubles as Spark does: the bits of the size, negative for values below zero.
+
+    Both zeros are 0 and NaN is above all. Powers of two divide exactly, so no bit is lost.
+    """
+    size = F.abs(value.cast("double"))
+    guess = F.floor(F.log2(size))
+    # The logarithm may be off by one next to a power of two.
+    exponent = (F.when(F.pow(F.lit(2.0), guess) > size, guess - 1)
+                .when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1).otherwise(guess))
+    fraction = ((size / F.pow(F.lit(2.0), exponent) - 1) * _FRACTION).cast("bigint")
+    bits = (F.when(F.isnan(size), F.lit(_INFINITE + 1))
+            .when(size == float("inf"), F.lit(_INFINITE))
+            .when(size >= _LEAST_NORMAL, (exponent + 1023).cast("bigint") * F.lit(1 << 52) + fraction)
+            .otherwise((size * 2.0 ** 537 * 2.0 ** 537).cast("bigint")))
+    return F.when((value < 0) & ~F.isnan(size), -bits).otherwise(bits)
+
+
+def _counted(rows: DataFrame, value: str, groups: list[str]) -> DataFrame:
+    """Distinct values of each group with their counts, under a key of 64 bits that keeps their order."""
+    real = isinstance(rows.schema[value].dataType, (DoubleType, FloatType))
+    key = ordered_bits(F.col(value)) if real else F.col(value).cast("bigint")
+    return (rows.filter(F.col(value).isNotNull()).select(*groups, key.alias("_k"), F.col(value).alias("_v"))
+            .groupBy(*groups, "_k").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_v")))
 
 
 def order_statistics(rows: DataFrame, value: str, picks: dict[str, Callable[[Column], Column]],
-                     groups: Sequence[str] = (), cell_width: float = CELL) -> DataFrame:
+                     groups: Sequence[str] = ()) -> DataFrame:
     """One row per group: `n` and, per pick, the value at a zero-based index computed from `n`.
 
-    1. Equal values collapse to (value, count) before the shuffle, so a value that fills a third
-       of the rows is one row.
-    2. Values fall into cells of `cell_width`; a window over the cell counts of a group finds the
-       cell that holds each index. There is one row per non-empty cell.
-    3. Only the values of those cells are ranked, per (group, cell): at most `cell_width` distinct
-       integers each.
+    1. Equal values collapse to (key, count) before the shuffle, so a value that fills a third of the
+       rows is one row. The result is written once; every level reads it.
+    2. A level counts the next DIGIT bits of the keys below each wanted prefix. At most 65,536 cells of
+       a pick are scanned for the one that holds its index, whatever the values are.
+    3. How many levels there are follows from the widest group's range of keys: one for 65,536 values in
+       a row, four for all doubles. The last level's cells are single values.
     """
     groups = list(groups)
-    counted = (rows.filter(F.col(value).isNotNull())
-               .groupBy(*groups, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-               .withColumn("_cell", F.floor(F.col("_v") / F.lit(cell_width))))
-    cells = counted.groupBy(*groups, "_cell").agg(F.sum("_c").alias("_c"))
-    whole = Window.partitionBy(*groups)
+    counted = cut(_counted(rows, value, groups), "counts")
+    span = (counted.groupBy(*groups).agg(F.min("_k").alias("_low"), F.max("_k").alias("_high"))
+            .agg(F.max(F.length(F.bin(F.col("_low").bitwiseXOR(F.col("_high"))))).alias("bits")).first())
+    bits = span["bits"] or 1
+    names = F.array(*[F.lit(name) for name in picks])
+    whole = Window.partitionBy(*groups, "pick")
     upto = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (cells.withColumn("_before", F.sum("_c").over(upto) - F.col("_c"))
-              .withColumn("n", F.sum("_c").over(whole)))
-    wanted = (placed.select(
-        *groups, "_cell", "_c", "_before", "n",
-        F.explode(F.array(*[F.struct(F.lit(name).alias("pick"), index(F.col("n")).alias("at"))
-                            for name, index in picks.items()])).alias("_p"))
-        .filter((F.col("_p.at") >= F.col("_before"))
-                & (F.col("_p.at") < F.col("_before") + F.col("_c")))
-        .select(*groups, "_cell", "_before", "n", "_p.pick", "_p.at"))
-    if not groups:
-        wanted = F.broadcast(wanted)  # one row per pick
-    within = (Window.partitionBy(*groups, "_cell", "pick").orderBy("_v")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (counted.join(wanted, [*groups, "_cell"])
-              .withColumn("_end", F.col("_before") + F.sum("_c").over(within))
-              .filter((F.col("at") < F.col("_end")) & (F.col("at") >= F.col("_end") - F.col("_c"))))
-    return ranked.groupBy(*groups).agg(
+    wanted, above = None, None
+    for shift in [*range(bits - DIGIT, 0, -DIGIT), 0]:
+        cell = F.shiftright("_k", shift)
+        if wanted is None:
+            cells = (counted.groupBy(*groups, cell.alias("_cell"))
+                     .agg(F.sum("_c").alias("_c"), F.min("_v").alias("_v"))
+                     .withColumn("pick", F.explode(names))
+                     .withColumn("n", F.sum("_c").over(whole)))
+            at = F.coalesce(*[F.when(F.col("pick") == name, index(F.col("n")).cast("bigint"))
+                              for name, index in picks.items()])
+            cells = cells.withColumn("at", at)
+        else:
+            few = F.broadcast(wanted) if not groups else wanted  # one row per pick
+            cells = (counted.withColumn("_above", F.shiftright("_k", above)).join(few, [*groups, "_above"])
+                     .groupBy(*groups, "pick", "n", "at", cell.alias("_cell"))
+                     .agg(F.sum("_c").alias("_c"), F.min("_v").alias("_v")))
+        end = F.sum("_c").over(upto)
+        found = (cells.withColumn("_end", end)
+                 .filter((F.col("at") < F.col("_end")) & (F.col("at") >= F.col("_end") - F.col("_c"))))
+        # Counted from the start of the cell from here on.
+        wanted = found.select(*groups, "pick", "n", (F.col("at") - F.col("_end") + F.col("_c")).alias("at"),
+                              F.col("_cell").alias("_above"), "_v")
+        if shift:
+            wanted = wanted.drop("_v")
+        above = shift
+    return wanted.groupBy(*groups).agg(
         F.max("n").alias("n"),
         *[F.max(F.when(F.col("pick") == name, F.col("_v"))).alias(name) for name in picks])
 

@@ -30,11 +30,10 @@ def mean_sum(points: DataFrame, series: str, groups: list[str]) -> DataFrame:
     return means.groupBy("window_start", *groups).agg(F.sum("mean_value").alias("total"))
 
 
-def percentile_max(points: DataFrame, q: float, series: str, groups: list[str],
-                   cell_width: float = 1.0) -> DataFrame:
+def percentile_max(points: DataFrame, q: float, series: str, groups: list[str]) -> DataFrame:
     """Interpolated percentile per series and window, the largest over the series of a group."""
     stats = order_statistics(points, "value", {"low": low_pick(q), "high": high_pick(q)},
-                             ["window_start", *groups, series], cell_width)
+                             ["window_start", *groups, series])
     each = stats.withColumn("p", interpolated(q, F.col("low"), F.col("high"), F.col("n")))
     return each.groupBy("window_start", *groups).agg(F.max("p").alias("worst"))
 

@@ -47,6 +47,12 @@ def _rounded(rows: DataFrame, *names: str) -> DataFrame:
     return rows.withColumns({name: F.round(F.col(name), 6) for name in names})
 
 
+def _partitioned(log: DataFrame) -> DataFrame:
+    return log.withColumns({
+        "arrived_ms": instants.instant_millis(F.col("received_at")),
+        "partition": (F.col("offset") % 4).cast("int"), "offset": instants.floor_div(F.col("offset"), 4)})
+
+
 # --- State -------------------------------------------------------------------------------------
 
 _on_log("visible_state", O.with_(O.STATE, f"SELECT {O.LOG_LIST} FROM visible"), Q.visible_state)
@@ -59,6 +65,17 @@ _on_log("current_account_lookup",
                          f" AND entity_id = '{LOOKUP_DID}'"),
         lambda log: Q.current_state(log, S.ACCOUNT, LOOKUP_DID))
 _on_log("accepted_log", O.with_(O.STATE, f"SELECT {O.LOG_LIST} FROM accepted"), newest.accepted)
+# The same log as it would lie in a topic of four partitions: offsets repeat, the order is composite.
+_on_log("accepted_partitions",
+        O.with_(O.LOG + """,
+parts AS (SELECT *, (epoch_us(CAST(received_at AS TIMESTAMP)) // 1000) AS arrived_ms,
+  "offset" % 4 AS part, "offset" // 4 AS place FROM log),
+scanned AS (SELECT *, max(revision) OVER (PARTITION BY row_key ORDER BY arrived_ms, part, place
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stored FROM parts)""",
+                "SELECT CAST(part AS INTEGER) AS partition, place AS \"offset\", arrived_ms, row_key, revision"
+                " FROM scanned WHERE stored IS NULL OR revision > stored"),
+        lambda log: newest.accepted(_partitioned(log)).select(
+            "partition", "offset", "arrived_ms", "row_key", "revision"))
 _on_log("current_by_key", O.with_(O.STATE, f"SELECT {O.LOG_LIST} FROM current_"), newest.newest)
 _on_log("purge_events",
         O.with_(O.LOG, "SELECT \"offset\", did, entity_type, state FROM log WHERE "
@@ -252,14 +269,14 @@ _on_log("activity_rows", O.with_(O.STATE, "SELECT activity_key, received_ms, row
         Q.activity_index)
 _on_log("activity_window",
         O.with_(O.STATE, f"SELECT * FROM act_rows WHERE received_ms >= {HOUR_AS_OF_MS - S.ACTIVITY_WINDOW_MS}"),
-        lambda log: Q.activity_index(log).filter(act.in_window(F.col("received_ms"), HOUR_AS_OF_MS)))
+        lambda log: act.window_index(log, HOUR_AS_OF_MS))
 _on_log("activity_index_top",
         O.with_(O.activity(AS_OF_MS, 200, DAY_MS), "SELECT activity_key, received_ms, row_key FROM top"),
-        lambda log: act.recent(Q.activity_index(log), AS_OF_MS, 200, DAY_MS))
+        lambda log: act.newest_entries(log, AS_OF_MS, 200, DAY_MS))
 _on_log("activity_touched_keys",
         O.with_(O.activity(AS_OF_MS, 200, DAY_MS),
                 "SELECT row_key, position, latest_event_ms FROM touched"),
-        lambda log: act.touched_keys(act.recent(Q.activity_index(log), AS_OF_MS, 200, DAY_MS)))
+        lambda log: act.touched_keys(act.newest_entries(log, AS_OF_MS, 200, DAY_MS)))
 _on_log("activity_recent",
         O.with_(O.activity(HOUR_AS_OF_MS, 50, S.ACTIVITY_WINDOW_MS),
                 f"SELECT position, latest_event_ms, {O.EVENT_LIST} FROM shown"),
@@ -268,6 +285,13 @@ _on_log("activity_day",
         O.with_(O.activity(AS_OF_MS, 50, DAY_MS),
                 f"SELECT position, latest_event_ms, {O.EVENT_LIST} FROM shown"),
         lambda log: Q.activity(log, AS_OF_MS, 50, DAY_MS))
+_on_log("activity_answer",
+        O.with_(O.activity(AS_OF_MS, 50, DAY_MS), f"""SELECT CAST({AS_OF_MS} AS BIGINT) AS observed_ms,
+ (SELECT max(received_ms) FROM top) AS latest_event_ms, CAST(coalesce(to_json(list(struct_pack({
+            ", ".join(f"{name} := {name}" for name in model.EVENT_FIELDS)}) ORDER BY position)), '[]')
+  AS VARCHAR) AS records FROM shown"""),
+        lambda log: Q.activity_answer(log, AS_OF_MS, 50, DAY_MS).withColumn(
+            "records", F.to_json("records", {"ignoreNullFields": "false"})))
 _on_log("activity_summary",
         O.with_(O.activity(AS_OF_MS, 50, DAY_MS), """SELECT entity_type, count(*) AS records,
  min(position) AS first_position FROM shown GROUP BY entity_type"""),

@@ -8,9 +8,9 @@ from lastword import model, settings as S
 from lastword.functions import contract, keys
 from lastword.functions.display import limit_argument
 from lastword.functions.instants import instant_millis
-from lastword.functions.messages import closed
 from lastword.operators import accounts, activity as act, ingest as ing, integrity, profile, reconcile
 from lastword.operators.newest import accepted, newest
+from lastword.sources.scratch import cut
 
 
 def _argument(name: str, value: str | None) -> str:
@@ -61,8 +61,8 @@ def _touched(log: DataFrame, index: DataFrame | None, as_of_ms: int, limit: str
              window_ms: int) -> DataFrame:
     """The touched keys as a local table: a finished top-k of at most 200 rows, so that the reads
     of their rows are point reads."""
-    entries = act.recent(index if index is not None else activity_index(log), as_of_ms,
-                         limit_argument(limit), window_ms)
+    entries = (act.newest_entries(log, as_of_ms, limit_argument(limit), window_ms) if index is None
+               else act.recent(index, as_of_ms, limit_argument(limit), window_ms))
     found = act.touched_keys(entries)
     return log.sparkSession.createDataFrame(found.collect(), found.schema)
 
@@ -72,7 +72,8 @@ def activity(log: DataFrame, as_of_ms: int, limit: str | int | None = None,
     """Records touched most recently, newest first, as each reads now.
 
     The limit applies to index rows, before they are made distinct and hidden ones leave, so fewer
-    rows than the limit are correct. `index` is the stored index; without one it is derived.
+    rows than the limit are correct. `index` is the stored index; without one the newest candidates
+    of the log are judged.
     """
     touched = _touched(log, index, as_of_ms, limit, window_ms)
     wanted = [row["row_key"] for row in touched.collect()]
@@ -176,11 +177,11 @@ def _metrics(prefix: str, one_row: DataFrame) -> DataFrame:
 def feed_profile(feed: DataFrame) -> DataFrame:
     """The sample report of a raw feed as (metric, value) rows.
 
-    All parts read the same two aggregations. They are closed, so that no part prunes them into a
-    variant of its own and their shuffles are shared.
+    The body-free view of the feed is written once, so every text is read once however many parts ask
+    for it; so are the two aggregations that most parts start from.
     """
-    seen = profile.observed(feed)
-    minutes, unique = closed(profile.by_minute(seen)), closed(profile.unique_commits(seen))
+    seen = cut(profile.observed(feed), "seen")
+    minutes, unique = cut(profile.by_minute(seen), "minutes"), cut(profile.unique_commits(seen), "unique")
     kinds = profile.kind_counts(minutes).select(
         F.concat(F.lit("message_kinds."), "kind").alias("metric"),
         F.col("messages").cast("double").alias("value"))

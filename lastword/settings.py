@@ -36,6 +36,7 @@ PREVIEW_CHARS = 160
 # Scale knobs, all ours. One window group never holds more than CHUNK_ROWS rows, and one
 # account never lands in fewer than ACCOUNT_SALTS shuffle buckets.
 CHUNK_ROWS = 1 << 20
+SLOT_MS = 60_000  # the same for an order that starts with a time: a group holds what a key gets in a slot
 ACCOUNT_SALTS = 16
 STATE_BUCKETS = 256
 

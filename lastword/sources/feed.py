@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lastword import model, settings as S
 from lastword.functions import contract, keys
@@ -26,32 +26,38 @@ def kafka_options(servers: str, topic: str, max_rows: int | None = None) -> dict
 
 def kafka_feed(spark: SparkSession, servers: str, topic: str,
                max_rows: int | None = None) -> DataFrame:
-    """Raw feed rows from a Kafka topic (needs the Kafka connector on the class path)."""
+    """Raw feed rows from a Kafka topic (needs the Kafka connector on the class path), with the
+    columns of their arrival."""
     stream = S.configure(spark).readStream.format("kafka").options(
         **kafka_options(servers, topic, max_rows)).load()
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    return stream.select("offset", F.col("value").cast("string").alias("raw"),
+    return stream.select(*arrival(), F.col("value").cast("string").alias("raw"),
                          stamp.alias("received_at"))
 
 
+def arrival() -> list[Column]:
+    """Where a Kafka row stands in a topic of several partitions: time, partition, offset."""
+    return [F.unix_millis("timestamp").alias("arrived_ms"), F.col("partition"), F.col("offset")]
+
+
 def kafka_lines(spark: SparkSession, servers: str, topic: str,
                 max_rows: int | None = None) -> DataFrame:
     """Contract lines of the records topic."""
     stream = S.configure(spark).readStream.format("kafka").options(
         **kafka_options(servers, topic, max_rows)).load()
-    return stream.select("offset", F.col("value").cast("string").alias("value"))
+    return stream.select(*arrival(), F.col("value").cast("string").alias("value"))
 
 
 def log_lines(lines: DataFrame) -> DataFrame:
     """Log rows from contract lines. A line that is no valid event fails the job: on this side of
-    the topic nothing malformed may exist."""
+    the topic nothing malformed may exist. Arrival columns stay where the lines have them."""
     parsed = contract.parse_lines(lines, "value")
     kind, ident = F.col("entity_type"), F.col("entity_id")
     fail = F.raise_error(F.concat(F.lit("invalid record line: "), F.col("reason")))
     checked = F.when(F.col("reason").isNotNull(), fail.cast("string")).otherwise(
         keys.row_key(kind, ident))
-    return parsed.select("offset", checked.alias("row_key"), keys.owner(kind, ident).alias("did"),
-                         *model.EVENT_FIELDS)
+    return parsed.select(*model.order_of(lines.columns), checked.alias("row_key"),
+                         keys.owner(kind, ident).alias("did"), *model.EVENT_FIELDS)
 
 
 def kafka_records(log: DataFrame) -> DataFrame:

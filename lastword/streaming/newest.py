@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -11,9 +12,20 @@ from pyspark.sql.types import StringType, StructField, StructType
 from lastword import model, settings as S
 
 STATE_NAME = "latest_revision"
+BLOCK = 4_096  # rows of a key that are looked at together
 _STATE = StructType([StructField("revision", StringType())])
 
 
+def above_all_earlier(rows: list[Row], order: Sequence[str], stored: str | None) -> list[Row]:
+    """The rows above `stored` and above every row before them in arrival order."""
+    out = []
+    for row in sorted(rows, key=lambda r: [r[name] for name in order]):
+        if stored is None or row["revision"] > stored:  # code points order like UTF-8 bytes
+            stored = row["revision"]
+            out.append(row)
+    return out
+
+
 class PreserveNewest(StatefulProcessor):
     """Holds the last emitted revision of one row key for three days after it was emitted.
 
@@ -21,22 +33,24 @@ class PreserveNewest(StatefulProcessor):
     that passes afterwards cannot become current.
     """
 
-    def __init__(self, ttl_ms: int = S.STATE_TTL_MS):
+    def __init__(self, ttl_ms: int = S.STATE_TTL_MS, order: Sequence[str] = ("offset",)):
         self.ttl_ms = ttl_ms
+        self.order = tuple(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.latest = handle.getValueState(STATE_NAME, _STATE, ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        # Rows of a key come in no promised order; the source bounds how many one batch can hold.
+        # Rows of a key come in no promised order, and a batch may hold any number of them. A row that
+        # is passed by an earlier one in its block is passed by it in the whole batch, and what is above
+        # all before it in the whole batch is so in its block: only such rows are kept.
         stored = self.latest.get()[0] if self.latest.exists() else None
-        emitted = False
-        for row in sorted(rows, key=lambda r: r["offset"]):
-            if stored is None or row["revision"].encode() > stored.encode():
-                stored, emitted = row["revision"], True
-                yield row
-        if emitted:
-            self.latest.update((stored,))
+        kept: list[Row] = []
+        while block := list(islice(rows, BLOCK)):
+            kept = above_all_earlier(kept + above_all_earlier(block, self.order, stored), self.order, stored)
+        if kept:
+            self.latest.update((kept[-1]["revision"],))
+        yield from kept
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self.latest.update((initialState["revision"],))
@@ -48,10 +62,13 @@ class PreserveNewest(StatefulProcessor):
 def updates(log: DataFrame, initial: DataFrame | None = None,
             ttl_ms: int = S.STATE_TTL_MS) -> DataFrame:
     """Accepted events of a streaming log, keyed by row key. Late data is judged by revision, never
-    by time, so there is no watermark."""
-    grouped = log.select(*model.LOG_FIELDS).groupBy("row_key")
+    by time, so there is no watermark. Rows of a batch arrive in the order of `offset`, or in the
+    composite order of a log that has the arrival columns of a partitioned topic."""
+    order = model.order_of(log.columns)
+    shape = StructType([f for f in log.schema if f.name in order and f.name != "offset"] + model.RECORDS_LOG.fields)
+    grouped = log.select(*shape.fieldNames()).groupBy("row_key")
     start = initial.groupBy("row_key") if initial is not None else None
-    return grouped.transformWithState(PreserveNewest(ttl_ms), model.RECORDS_LOG, "Update",
+    return grouped.transformWithState(PreserveNewest(ttl_ms, order), shape, "Update",
                                       "ProcessingTime", initialState=start)
 
 
