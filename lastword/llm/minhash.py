@@ -6,9 +6,8 @@ of a band share a bucket. With 40 bands of 4 rows a pair of similarity 0.8 share
 (1 - 0.8^4)^40 < 1e-9. A pair whose signatures agree in fewer than AGREE places is not looked at
 further (a link falls below with a probability of about 1e-10); all others are confirmed on the full sets.
 
-Buckets never give all their pairs. A bucket of up to SMALL classes does; of a larger one a pivot meets
-each other class, a few times with other pivots, and only classes of components not yet joined go on.
-What then still stands apart in a bucket is cut into blocks of bounded volume, and every two blocks meet
+Only a bucket of up to SMALL classes gives all its pairs; of a larger one PIVOTS classes meet each other
+class. What then still stands apart in a bucket is cut into blocks of bounded volume, and every two blocks meet
 in one task that looks at all their pairs across components by signature, confirms them on the full sets and
 returns a spanning forest of the links it finds. So no link between components is lost, no
 group is held whole, and no pair leaves a task that is not a link.
@@ -38,8 +37,8 @@ WORDS, NEED, OF = 2, 80, 100  # shingles of two words; similarity of 80 in 100 o
 BANDS, ROWS = 40, 4
 MINIMA = BANDS * ROWS
 AGREE = 95  # of MINIMA places, each compared by 8 bits; 6.5 standard deviations below 0.8
-SMALL, TURNS = 8, 3  # classes of a bucket that meet at once; turns of pivots in larger ones
-VOLUME = 1 << 18  # tokens of a block
+SMALL, PIVOTS = 8, 3  # classes of a bucket that meet at once; pivots in larger ones
+VOLUME = 1 << 17  # tokens of a block
 CHUNK = 1 << 13  # tokens hashed at once
 SALTS_OF = 256  # members that one copy of a pivot's set is compared with
 MOST_BITS = 1 << 30
@@ -185,23 +184,24 @@ def possible(pairs: DataFrame) -> DataFrame:
 
 def side(members: DataFrame, x: str) -> DataFrame:
     return members.select("bucket", F.col("class").alias(x), F.col("size").alias(f"size_{x}"),
-                          F.col("bits").alias(f"bits_{x}"), F.col("component").alias(f"component_{x}"))
+                          F.col("bits").alias(f"bits_{x}"))
 
 
 def small_pairs(members: DataFrame) -> DataFrame:
     """The possible pairs of buckets with at most SMALL classes."""
-    few = members.where(F.col("held") <= SMALL).withColumn("component", F.col("class"))
+    few = members.where(F.col("held") <= SMALL)
     return possible(side(few, "a").join(side(few, "b"), "bucket").where("a < b"))
 
 
-def pivot_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """The possible pairs of one class of each bucket, another one each turn, with its others; a is the pivot."""
-    one = members.groupBy("bucket").agg(
-        F.min_by(F.struct("class", "size", "bits", "component"), F.xxhash64("class", "bucket", F.lit(turn))).alias("p"))
-    one = frames.written(one, "pivots")
-    pivots = one.select("bucket", F.col("p.class").alias("a"), F.col("p.size").alias("size_a"),
-                        F.col("p.bits").alias("bits_a"), F.col("p.component").alias("component_a"))
-    return possible(side(members, "b").join(pivots, "bucket").where("component_a <> component_b"))
+def pivot_pairs(members: DataFrame) -> DataFrame:
+    """The possible pairs of a few classes of each larger bucket, the pivots a, with its others."""
+    large = members.where(F.col("held") > SMALL)
+    chosen = [F.min_by(F.struct("class", "size", "bits"), F.xxhash64("class", "bucket", F.lit(turn))).alias(f"p{turn}")
+              for turn in range(PIVOTS)]
+    one = large.groupBy("bucket").agg(*chosen)
+    pivots = frames.written(one.select("bucket", F.explode(F.array_distinct(F.array(
+        *[f"p{turn}" for turn in range(PIVOTS)]))).alias("p")).select("bucket", "p.*"), "pivots")
+    return possible(side(large, "b").join(side(pivots, "a"), "bucket").where("a <> b"))
 
 
 def full_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -279,7 +279,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The classes of buckets that still hold several components, with their component. Written."""
-    known = (members.drop("component").join(labels.withColumnRenamed("node", "class"), "class", "left")
+    known = (members.join(labels.withColumnRenamed("node", "class"), "class", "left")
              .withColumn("component", F.coalesce("component", "class")))
     known = frames.written(known, "known")
     several = (known.groupBy("bucket").agg(F.min("component").alias("_l"), F.max("component").alias("_h"))
@@ -343,22 +343,17 @@ def links_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
     classes = frames.written(
         rows.where("size > 0").select("class", "size", "bands", "bits").dropDuplicates(["class"]), "classes")
     members = bucketed(classes)
-    pairs = frames.written(small_pairs(members), "pairs")
-    large = members.where(F.col("held") > SMALL).withColumn("component", F.col("class"))
+    pairs = frames.written(small_pairs(members).union(pivot_pairs(members)), "pairs")
+    large = members.where(F.col("held") > SMALL)
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(large.select("class")).distinct()
     sets = full_sets(docs, rows, wanted)
     links = confirmed(pairs, sets)
     labels = components(links)
-    for turn in range(TURNS + 1):
-        large = apart(large, labels)
-        if large.isEmpty():
-            break
-        if turn == TURNS:
-            links = links.union(block_links(large, sets))
-        else:
-            links = links.union(confirmed(frames.written(pivot_pairs(large, turn), "pairs"), sets))
-        labels = components(links)
-    return labels
+    left = apart(large, labels)
+    if left.isEmpty():
+        return labels
+    more = block_links(left, sets)
+    return labels if more.isEmpty() else components(links.union(more))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
