@@ -194,9 +194,13 @@ def small_pairs(members: DataFrame) -> DataFrame:
 
 
 def pivot_pairs(members: DataFrame) -> DataFrame:
-    """The possible pairs of a few classes of each larger bucket, the pivots a, with its others."""
+    """The possible pairs of a few classes of each larger bucket, the pivots a, with its others.
+
+    Pivots have the least hashes, so buckets with many classes in common mostly agree on them, and a
+    class that stands in many such buckets meets few different pivots.
+    """
     large = members.where(F.col("held") > SMALL)
-    chosen = [F.min_by(F.struct("class", "size", "bits"), F.xxhash64("class", "bucket", F.lit(turn))).alias(f"p{turn}")
+    chosen = [F.min_by(F.struct("class", "size", "bits"), F.xxhash64("class", F.lit(turn))).alias(f"p{turn}")
               for turn in range(PIVOTS)]
     one = large.groupBy("bucket").agg(*chosen)
     pivots = frames.written(one.select("bucket", F.explode(F.array_distinct(F.array(
