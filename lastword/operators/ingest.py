@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lastword import model
 from lastword.functions import keys, messages
@@ -28,21 +28,29 @@ def quarantine(judged: DataFrame) -> DataFrame:
         F.sha2(F.col("raw"), 256).alias("key"), "raw", "reason", "received_at")
 
 
-def counters(judged: DataFrame, cursor: int = -1) -> DataFrame:
-    """One row: what a batch received and where its messages went, and the cursor after it.
+COUNTED = ("received", "received_bytes", "published", "identity_skipped", "quarantined")
+
+
+def counter_columns(cursor: int = -1) -> list[Column]:
+    """Aggregates over judged rows: what was received and where it went, and the cursor after it.
 
     A quarantined or skipped message with a readable sequence still moves the cursor.
     """
     bad = F.col("reason").isNotNull()
     identity = ~bad & (F.col("kind") == messages.IDENTITY)
-    return judged.agg(
+    return [
         F.count(F.lit(1)).alias("received"),
         F.coalesce(F.sum(F.octet_length("raw").cast("bigint")), F.lit(0)).alias("received_bytes"),
         F.count_if(~bad & ~F.coalesce(identity, F.lit(False))).alias("published"),
         F.count_if(identity).alias("identity_skipped"),
         F.count_if(bad).alias("quarantined"),
         F.greatest(F.lit(cursor).cast("bigint"),
-                   F.coalesce(F.max("seq"), F.lit(-1))).alias("cursor"))
+                   F.coalesce(F.max("seq"), F.lit(-1))).alias("cursor")]
+
+
+def counters(judged: DataFrame, cursor: int = -1) -> DataFrame:
+    """One row: the counters of a batch and the cursor after it."""
+    return judged.agg(*counter_columns(cursor))
 
 
 def resume_cursor(log: DataFrame) -> DataFrame:

@@ -31,8 +31,14 @@ class Entry(NamedTuple):
 ENTRIES: dict[str, Entry] = {}
 
 
-def _on_log(name: str, sql: str | None, build: Callable[[DataFrame], DataFrame]) -> None:
-    ENTRIES[name] = Entry(lambda spark, sf: build(feed.records(spark, sf)), sql)
+def _on_log(name: str, sql: str | None, build: Callable[[DataFrame], DataFrame],
+            only: tuple[str, ...] | None = None) -> None:
+    ENTRIES[name] = Entry(lambda spark, sf: build(feed.records(spark, sf, only=only)), sql)
+
+
+def _on_account(name: str, sql: str | None, build: Callable[[DataFrame], DataFrame]) -> None:
+    """A lookup: all rows that it can return belong to one account, and only those are derived."""
+    ENTRIES[name] = Entry(lambda spark, sf: build(feed.records(spark, sf, did=LOOKUP_DID)), sql)
 
 
 def _on_feed(name: str, sql: str | None, build: Callable[[DataFrame], DataFrame]) -> None:
@@ -56,11 +62,11 @@ def _partitioned(log: DataFrame) -> DataFrame:
 # --- State -------------------------------------------------------------------------------------
 
 _on_log("visible_state", O.with_(O.STATE, f"SELECT {O.LOG_LIST} FROM visible"), Q.visible_state)
-_on_log("current_state_lookup",
+_on_account("current_state_lookup",
         O.with_(O.STATE, f"SELECT {O.EVENT_LIST} FROM visible WHERE entity_type = '{LOOKUP[0]}'"
                          f" AND entity_id = '{LOOKUP[1]}'"),
         lambda log: Q.current_state(log, *LOOKUP))
-_on_log("current_account_lookup",
+_on_account("current_account_lookup",
         O.with_(O.STATE, f"SELECT {O.EVENT_LIST} FROM visible WHERE entity_type = 'account'"
                          f" AND entity_id = '{LOOKUP_DID}'"),
         lambda log: Q.current_state(log, S.ACCOUNT, LOOKUP_DID))
@@ -100,11 +106,11 @@ _on_log("hidden_by_account",
             newest.newest(log.filter(contract.is_collection(F.col("entity_type")))),
             accounts.account_status(log).filter(F.col("state") != "active")
             .withColumnRenamed("state", "account_state")).select("row_key", "account_state"))
-_on_log("account_records",
+_on_account("account_records",
         O.with_(O.LOG, f"SELECT DISTINCT row_key FROM log WHERE did = '{LOOKUP_DID}'"
                        " AND entity_type NOT IN ('account', 'sync')"),
         lambda log: Q.account_records(log, LOOKUP_DID))
-_on_log("prefix_scan",
+_on_account("prefix_scan",
         O.with_(O.STATE, f"SELECT row_key FROM current_ WHERE starts_with(row_key, '{S.POST}#{LOOKUP_DID}/')"),
         lambda log: reconcile.candidates(newest.newest(log), f"{S.POST}#{LOOKUP_DID}/")
         .select("row_key"))
@@ -113,14 +119,14 @@ _on_log("first_keys",
                          f" ORDER BY row_key LIMIT {S.TRACE_CANDIDATES}"),
         lambda log: reconcile.candidates(newest.newest(log), f"{S.LIKE}#", S.TRACE_CANDIDATES)
         .select("row_key"))
-_on_log("point_read",
+_on_account("point_read",
         O.with_(O.STATE, f"SELECT row_key, revision, source_seq, state FROM current_ WHERE row_key IN"
                          f" ('{'#'.join(LOOKUP)}', 'account#{LOOKUP_DID}')"),
         lambda log: Q.point_rows(log, *LOOKUP).select("row_key", "revision", "source_seq", "state"))
 _on_log("distinct_ids", O.with_(O.LOG, "SELECT DISTINCT event_id FROM log"),
         lambda log: log.select("event_id").distinct())
 _on_log("resume_cursor", O.with_(O.LOG, "SELECT coalesce(max(source_seq), -1) AS cursor FROM log"),
-        ing.resume_cursor)
+        ing.resume_cursor, only=("source_seq",))
 
 # --- Keys and scalars --------------------------------------------------------------------------
 
