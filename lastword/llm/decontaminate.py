@@ -193,6 +193,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Da
         "key", items.alias("items"), "spans")
 
 
+@frames.other_columns_aside
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that are not contaminated, with all their columns."""
     bad = contamination(docs, benchmark).where("contaminated").select("key").distinct()

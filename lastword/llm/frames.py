@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import gc
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,6 +96,25 @@ def ranked_counts(counts: DataFrame, group: list[str], order: list[str]) -> Data
             .withColumn("first", F.col("_base") + F.col("_in")).drop("_part", "_base", "_in"))
 
 
+def other_columns_aside(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage over documents that never sees what the caller's further columns are called.
+
+    They go through under names that no operator uses and come back under their own, so a name that a
+    stage uses itself, or one that differs from `text` by case alone, neither clashes nor is overwritten.
+    """
+    own = ("doc_id", "text", "lang", "source", "n_chars")
+
+    @functools.wraps(stage)
+    def run(docs: DataFrame, *rest, **named) -> DataFrame:
+        names = docs.columns
+        held = [name if name in own else f"caller column {k}" for k, name in enumerate(names)]
+        out = stage(docs.toDF(*held), *rest, **named)
+        back = dict(zip(held, names))
+        return out.toDF(*[back.get(name, name) for name in out.columns])
+
+    return run
+
+
 def numbered(first: Column, n: Column, step: int = 1 << 16) -> tuple[Column, Column]:
     """Two generators that unfold a row into first .. first + n - 1 without one long array."""
     blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / F.lit(step))))

@@ -184,6 +184,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("component")))
 
 
+@frames.other_columns_aside
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay when of each component one document stays: that of the smallest id, of the
     smallest hash of the text among several of that id or where none has an id.

@@ -184,6 +184,7 @@ def deduplicated(docs: DataFrame, counts: bool = False) -> DataFrame:
     return out if counts else out.select(*[F.col(f"`{c}`") for c in columns])
 
 
+@frames.other_columns_aside
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs without removed lines, and without documents that had words in lines but keep none.
 

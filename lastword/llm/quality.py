@@ -184,6 +184,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                         "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+@frames.other_columns_aside
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs whose score reaches the threshold, with all their columns."""
     learn = with_statistics(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
