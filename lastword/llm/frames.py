@@ -107,7 +107,8 @@ def other_columns_aside(stage: Callable[..., DataFrame]) -> Callable[..., DataFr
     @functools.wraps(stage)
     def run(docs: DataFrame, *rest, **named) -> DataFrame:
         names = docs.columns
-        held = [name if name in own else f"caller column {k}" for k, name in enumerate(names)]
+        known = [name in own or (name.lower() in own and name.lower() not in names) for name in names]
+        held = [name if mine else f"caller column {k}" for k, (name, mine) in enumerate(zip(names, known))]
         out = stage(docs.toDF(*held), *rest, **named)
         back = dict(zip(held, names))
         return out.toDF(*[back.get(name, name) for name in out.columns])
