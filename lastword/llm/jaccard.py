@@ -5,10 +5,11 @@ its candidates: over the candidates' inverted lists of its tokens, a document mu
 DivideSkip merges the short lists with a heap and counts; what reaches T less the number of long
 lists is probed in the long ones by binary search.
 
-Long posting lists are shared passages or groups of near copies. A class stays in them only while enough
-of its tokens stand in classes of other components. Then lists take one class as the pivot of all
-others, a few times; what is left is paired completely over the rarest tokens that a link cannot do
-without, but for classes of one component, so no link between components is lost.
+Long posting lists are shared passages or groups of near copies. Lists take one class as the pivot of
+all others. A class stays only while enough of its tokens stand in classes of other components. What
+is left is dealt by size into blocks of bounded volume; two blocks whose sizes may link meet in one
+task, which searches the inverted lists of their whole sets in the same way and returns no pairs but a
+spanning forest of the links between components, so no link between components is lost.
 
 Edge cases: null and empty texts, and texts without words, have no shingles and are their own component;
 repeated rows share a class and a component; null ids do not count as the smallest id unless the
@@ -30,7 +31,9 @@ from lastword.llm import frames
 from lastword.llm import setjoin as sj
 from lastword.llm.components import components
 
-PIVOTS, KINDS = 3, 8  # turns of pivots; different pivots that lists take in a turn
+KINDS = 8  # different pivots that the lists of a class take
+SALTS_OF = 256  # candidates that one class meets in a task
+VOLUME = 2_000_000  # tokens of a block
 MU = 0.01  # weight of a list's length in DivideSkip's choice of long lists
 
 
@@ -88,45 +91,176 @@ def divide_skip(query: np.ndarray, others: list[np.ndarray]) -> list[int]:
 
 
 def linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+    """The pairs (a, b) whose sets are similar enough, by the hashes of the classes' sets.
+
+    The set of a travels once for up to some SALTS_OF candidates, which follow it in the same sorted part and
+    are searched together.
+    """
+    many = frames.written(pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > SALTS_OF), "many")
+    salts = F.coalesce(F.floor(F.col("n") / SALTS_OF) + 1, F.lit(1))
+    keyed = pairs.join(many, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), salts).alias("salt"))
+    heads = (keyed.select("a", "salt").distinct()
+             .join(members.select(F.col("class").alias("a"), "one", "tokens"), "a")
+             .select("a", "salt", F.lit(False).alias("other"), "one", "tokens"))
+    tails = (keyed.join(members.select(F.col("class").alias("b"), "one", "tokens"), "b")
+             .select("a", "salt", F.lit(True).alias("other"), "one", "tokens"))
+    dealt = heads.unionByName(tails).repartition("a", "salt").sortWithinPartitions("a", "salt", "other")
     frames.small_batches(pairs.sparkSession, 128)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, 0
+        queries, names, others = [], [], []
+        left, right = [], []
+
+        def search() -> None:
+            for one, query in queries if others else ():
+                found = divide_skip(query, others)
+                left.extend([one] * len(found))
+                right.extend(names[k] for k in found)
+            names.clear()
+            others.clear()
+
+        def emit() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+            left.clear()
+            right.clear()
+            return out
+
         for batch in batches:
-            a, ta, b, tb = (batch.column(i).to_pylist() for i in (0, 2, 3, 5))
-            left, right = [], []
-            groups: dict[tuple[int, bytes], list[int]] = {}
-            for i, one in enumerate(a):
-                groups.setdefault((one, ta[i]), []).append(i)
-            for (one, blob), rows in groups.items():
-                query = np.frombuffer(blob, np.uint64)
-                found = divide_skip(query, [np.frombuffer(tb[i], np.uint64) for i in rows])
-                left += [one] * len(found)
-                right += [b[rows[k]] for k in found]
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
-
-    return frames.written(sj.with_both_sets(pairs, members).mapInArrow(run, "a bigint, b bigint"), "links")
-
-
-def pivot_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """One member of each list with all its others of other components."""
+            for a, salt, other, one, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != (a, salt):
+                    search()
+                    key = (a, salt)
+                    queries.clear()  # several, if classes share their 48 bits
+                    held = 0
+                tokens = np.frombuffer(blob, np.uint64)
+                if not other:
+                    queries.append((one, tokens))
+                    continue
+                names.append(one)
+                others.append(tokens)
+                held += len(tokens)
+                if held > VOLUME:
+                    search()
+                    held = 0
+            yield emit()
+        search()
+        yield emit()
+
+    return frames.written(dealt.mapInArrow(run, "a bigint, b bigint"), "links")
+
+
+def pivot_pairs(lists: DataFrame) -> DataFrame:
+    """One member a of each list with all its others b of other components."""
     pivot = lists.groupBy("token").agg(
-        F.min_by(F.struct("a", "size", "component"), F.xxhash64("a", F.pmod("token", F.lit(KINDS)), F.lit(turn))).alias("p"))
+        F.min_by(F.struct("a", "size", "component"), F.xxhash64("a", F.pmod("token", F.lit(KINDS)))).alias("p"))
     return (lists.join(pivot, "token")
             .where((F.col("a") != F.col("p.a")) & (F.col("component") != F.col("p.component"))
                    & sj.close(F.col("size"), F.col("p.size")))
-            .select(F.least("a", "p.a").alias("a"), F.greatest("a", "p.a").alias("b")).distinct())
+            .select(F.col("p.a").alias("a"), F.col("a").alias("b")).distinct())
+
+
+def forest(size: np.ndarray, component: np.ndarray, partner: np.ndarray, tokens: np.ndarray) -> list[tuple[int, int]]:
+    """Links between sets of different components, so many that all linked components are connected.
+
+    Sets stand in order of their size, their tokens in a row. Each is searched among the partners before
+    it: the short ones of the inverted lists of its tokens are merged and counted, what may still reach
+    its T is probed in the long lists by binary search.
+    """
+    sets = len(size)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    owner = np.repeat(np.arange(sets, dtype=np.int32), size)
+    order = np.argsort(tokens, kind="stable")  # by token, then by set
+    sorted_tokens = tokens[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = sorted_tokens[1:] != sorted_tokens[:-1]
+    # Lists hold partners only; each token of each set knows its list and the place of the set in it.
+    in_list = partner[owner[order]]
+    before = np.concatenate([[0], np.cumsum(in_list)])
+    list_start = before[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+    low, high = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    low[order], high[order] = list_start, before[:-1]
+    lists = owner[order][in_list]
+    del order, sorted_tokens, fresh, in_list, before, list_start, owner
+
+    parent = {c: c for c in component.tolist()}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    out = []
+    for i in range(sets):
+        least = -(-sj.NEED * int(size[i]) // sj.OF)  # the least T: a partner is at most as large
+        starts, ends = low[begin[i]:begin[i + 1]], high[begin[i]:begin[i + 1]]
+        length = ends - starts
+        held = length > 0
+        starts, ends, length = starts[held], ends[held], length[held]
+        if len(length) < least:
+            continue
+        rank = np.argsort(length, kind="stable")
+        starts, ends, length = starts[rank], ends[rank], length[rank]
+        most = int(length[-1])
+        n_long = min(least - 1, int(least / (MU * math.log2(most) + 1))) if most > 1 else 0
+        n_short = len(length) - n_long
+        total = np.concatenate([[0], np.cumsum(length[:n_short])])
+        spots = np.arange(total[-1]) + np.repeat(starts[:n_short] - total[:-1], length[:n_short])
+        count = np.bincount(lists[spots], minlength=i)
+        need = -(-sj.NEED * (size[:i] + size[i]) // (sj.NEED + sj.OF))
+        mine = root(int(component[i]))
+        found = np.flatnonzero((count[:i] >= need - n_long) & (sj.OF * size[:i] >= sj.NEED * size[i]))
+        found = np.array([j for j in found.tolist() if root(int(component[j])) != mine], np.int64)
+        seen, want = count[found], need[found]
+        for k in range(len(length) - 1, n_short - 1, -1):
+            alive = seen + (k - n_short + 1) >= want
+            found, seen, want = found[alive], seen[alive], want[alive]
+            if not len(found):
+                break
+            one = lists[starts[k]:ends[k]]
+            at = np.minimum(np.searchsorted(one, found), len(one) - 1)
+            seen = seen + (one[at] == found)
+        for j in found[seen >= want].tolist():
+            one, other = root(int(component[i])), root(int(component[j]))
+            if one != other:
+                parent[one] = other
+                out.append((i, j))
+    return out
 
 
-def all_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of members of different components that share a token of these rows and that the length
-    filter lets through."""
-    other = lists.select("token", F.col("a").alias("b"), F.col("size").alias("_size"),
-                         F.col("component").alias("_component"))
-    return (lists.join(other, "token")
-            .where((F.col("a") < F.col("b")) & (F.col("component") != F.col("_component"))
-                   & sj.close(F.col("size"), F.col("_size")))
-            .select("a", "b").distinct())
+def block_links(left: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all components of the classes `left` (a, component) that have a link. Written.
+
+    Sizes fall into bands by the needed similarity, so a link lies in one band or in two that are neighbours: a
+    task searches members of a band and the next one among those of the band.
+    """
+    band = F.floor(F.log("size") / F.log(F.lit(sj.OF / sj.NEED)))
+    held = members.join(left.withColumnRenamed("a", "class"), "class").select("one", "component", "size", "tokens",
+                                                                               band.alias("band"))
+    light = held.drop("tokens")
+    groups = light.withColumn("group", F.explode(F.array("band", F.col("band") - 1)))
+    volume = groups.groupBy("group").agg((F.floor(F.sum("size") / VOLUME) + 1).alias("blocks"),
+                                         F.min("band").alias("_low"), F.min("component").alias("_l"),
+                                         F.max("component").alias("_h"))
+    volume = volume.where("_low = group AND _l <> _h").select("group", "blocks")
+    dealt = (groups.join(volume, "group").withColumn("block", F.pmod(F.xxhash64("one"), F.col("blocks")))
+             .withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("group", F.least("block", "met").alias("low"), F.greatest("block", "met").alias("high"),
+                     "one", "component", "size", (F.col("band") == F.col("group")).alias("partner")))
+    met = dealt.join(held.select("one", "tokens"), "one")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("size")
+        names = table.column("one").to_pylist()
+        component = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
+        found = forest(table.column("size").to_numpy(), component,
+                       table.column("partner").to_numpy(zero_copy_only=False),
+                       np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.uint64))
+        return pa.table({"a": pa.array([names[i] for i, _ in found], pa.int64()),
+                         "b": pa.array([names[j] for _, j in found], pa.int64())})
+
+    return frames.written(met.groupBy("group", "low", "high").applyInArrow(run, "a bigint, b bigint"), "links")
 
 
 def mixed(long: DataFrame, labels: DataFrame, members: DataFrame) -> DataFrame:
@@ -150,14 +284,15 @@ def links_of(docs: DataFrame, text: str, units: DataFrame) -> tuple[DataFrame, D
                              short.select("a").union(short.select("b")).union(long.select("a")))
     links = linked(short, members)
     labels = components(links)
-    for turn in range(PIVOTS + 1):
-        lists = mixed(long, labels, members)
-        if lists.isEmpty():
-            break
-        long = lists.select("a", "size", "token")
-        pairs = pivot_pairs(lists, turn) if turn < PIVOTS else all_pairs(
-            frames.written(sj.rarest_prefixes(lists, members), "prefixes"))
-        links = links.union(linked(pairs, members))
+    lists = mixed(long, labels, members)
+    if lists.isEmpty():
+        return links, labels
+    links = links.union(linked(pivot_pairs(lists), members))
+    labels = components(links)
+    lists = mixed(lists.select("a", "size", "token"), labels, members)
+    more = block_links(lists.select("a", "component").distinct(), members)
+    if not more.isEmpty():
+        links = links.union(more)
         labels = components(links)
     return links, labels
 

@@ -68,6 +68,41 @@ def test_divide_skip_is_the_overlap_test():
         assert sorted(jaccard.divide_skip(query, others)) == want
 
 
+def test_jaccard_blocks(docs, rows, monkeypatch):
+    """All pairs are left to the blocks, several of a band."""
+    monkeypatch.setattr(setjoin, "SHORT", 1)
+    monkeypatch.setattr(jaccard, "VOLUME", 500)
+    monkeypatch.setattr(jaccard, "pivot_pairs", lambda lists: lists.select("a", jaccard.F.col("a").alias("b")).limit(0))
+    assert tuples(jaccard.join(docs).select("doc_id", "n_shingles", "component_id")) == brute.components(rows)
+
+
+def reached(n, links):
+    of = list(range(n))
+    for i, j in links:
+        of = [of[i] if x == of[j] else x for x in of]
+    return [of.index(x) for x in of]
+
+
+def test_forest_connects_what_links_connect():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        base = rng.choice(400, (3, 60))
+        sets = sorted((np.unique(np.where(rng.random(60) < rng.choice([0.02, 0.1, 0.3]), rng.choice(400, 60),
+                                          base[rng.integers(3)]))[:rng.integers(1, 61)] for _ in range(25)), key=len)
+        size = np.array([len(x) for x in sets])
+        component, partner = rng.integers(0, 20, 25), rng.random(25) < 0.8
+        links = []
+        for i in range(25):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if partner[j] and 100 * both >= 75 * (size[i] + size[j] - both):
+                    links.append((i, j))
+        same = [(i, j) for i in range(25) for j in range(i) if component[i] == component[j]]
+        found = jaccard.forest(size, component, partner, np.concatenate(sets).astype(np.uint64))
+        assert set(found) <= set(links)
+        assert reached(25, same + found) == reached(25, same + links)
+
+
 @pytest.mark.parametrize("short", [2, 8])
 def test_lines(docs, rows, short, monkeypatch):
     monkeypatch.setattr(setjoin, "SHORT", short)
