@@ -4,9 +4,8 @@ A line's tokens are its distinct shingles of five words (all its words, if fewer
 if an earlier line of the corpus, in its own document or another, has Jaccard similarity 0.75 or
 more with it, whether or not that one is removed itself. Order: doc_id, hash of the text, line. The
 join orders tokens by rarity and applies prefix, positional and length filters, then verifies
-(see setjoin). In a long posting list an early class is the pivot of all later ones, a few times; those
-that no pivot removes and that share enough tokens with others are compared with all earlier ones
-that hold one of the rarest tokens a link cannot do without.
+(see setjoin). In a long posting list an early class is the pivot of later ones; those that it does not
+remove are searched among all earlier ones of their lists, in blocks of bounded volume (see listblocks).
 
 Edge cases: lines without words are never removed, nor counted; null and empty texts have no lines;
 rows that repeat id and text are one document and get equal results; null ids come first; an empty
@@ -22,11 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastword.llm import frames, textops
+from lastword.llm import frames, listblocks, textops
 from lastword.llm import setjoin as sj
 
 NOT_BREAK = np.arange(256) != 10
-PIVOTS, KINDS, ONE_IN = 2, 8, 8  # turns of pivots, pivots of a turn, members that a later turn picks from
 
 
 def cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,6 +71,15 @@ def later(links: DataFrame, firsts: DataFrame) -> DataFrame:
             .select(F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b")).alias("node")))
 
 
+def pivot_pairs(named: DataFrame, gone: DataFrame) -> DataFrame:
+    """Each class that is not gone (b) with one earlier class (a): of the earliest of its lists, that of most."""
+    pivot = named.groupBy("token").agg(F.min(F.struct("first", "a", "size")).alias("p"))
+    common = (named.join(gone, "node", "left_anti").join(pivot, "token")
+              .where((F.col("first") > F.col("p.first")) & sj.close(F.col("size"), F.col("p.size")))
+              .groupBy(F.col("a").alias("b"), F.col("p.a").alias("a")).agg(F.count("*").alias("n")))
+    return common.groupBy("b").agg(F.max(F.struct("n", "a"))["a"].alias("a")).select("a", "b")
+
+
 def removed_classes(rows: DataFrame, text: str, units: DataFrame, of_class: DataFrame) -> DataFrame:
     """one and two of every class whose first line has an earlier match."""
     gone, firsts = removed_nodes(rows, text, units, of_class)
@@ -91,32 +98,13 @@ def removed_nodes(rows: DataFrame, text: str, units: DataFrame,
     if long.isEmpty():
         return gone, firsts
     named = frames.written(long.join(firsts, "a").select("a", "node", "size", "token", "first"), "lists")
-    for turn in range(PIVOTS):
-        # The earliest of all members first, then the earliest of one in so many.
-        some = named if not turn else named.where(
-            F.pmod(F.xxhash64("a", F.pmod("token", F.lit(KINDS)), F.lit(turn)), F.lit(ONE_IN)) == 0)
-        pivot = some.groupBy("token").agg(F.min(F.struct("first", "a", "size")).alias("p"))
-        pairs = (named.join(gone, "node", "left_anti").join(pivot, "token")
-                 .where((F.col("first") > F.col("p.first")) & sj.close(F.col("size"), F.col("p.size")))
-                 .select(F.col("p.a").alias("a"), F.col("a").alias("b")).distinct())
-        gone = frames.written(gone.union(later(verified(pairs, members), firsts)).distinct(), "gone")
-        # Lists without a line that may still have an earlier match are done.
-        still = named.join(gone, "node", "left_anti")
-        kept = named.join(still.select("token").distinct(), "token", "left_semi").withColumn("component", F.col("node"))
-        kept = frames.written(kept, "lists")
-        named = frames.written(kept.join(sj.able(kept, members), "a", "left_semi").drop("component"), "lists")
-        if named.isEmpty():
-            return gone, firsts
-    # What no pivot removed is compared with every earlier class of its lists.
-    keys = firsts.select("a", "node", "first")
-    named = frames.written(sj.rarest_prefixes(named.withColumn("component", F.col("node")), members)
-                           .drop("component").join(keys, "a"), "lists")
-    still = named.join(gone, "node", "left_anti")
-    other = named.select("token", F.col("a").alias("b"), F.col("size").alias("_size"), F.col("first").alias("_first"))
-    pairs = (still.join(other, "token").where((F.col("_first") < F.col("first"))
-                                              & sj.close(F.col("size"), F.col("_size")))
-             .select(F.col("b").alias("a"), F.col("a").alias("b")).distinct())
-    return gone.union(later(verified(pairs, members), firsts)).distinct(), firsts
+    gone = frames.written(gone.union(later(verified(pivot_pairs(named, gone), members), firsts)).distinct(), "gone")
+    asked = named.join(gone.withColumn("query", F.lit(False)), "node", "left").withColumn(
+        "query", F.coalesce("query", F.lit(True)))
+    # Lists without a line that may still have an earlier match are done.
+    open_ = asked.where("query").select("token").distinct()
+    more = listblocks.matched(asked.join(open_, "token", "left_semi"), members)
+    return gone.union(more).distinct(), firsts
 
 
 def row_key() -> list[Column]:

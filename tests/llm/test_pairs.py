@@ -8,7 +8,7 @@ import pytest
 from conftest import REPEATED, frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from lastword.llm import jaccard, lines, repeats, setjoin, suffixes
+from lastword.llm import jaccard, lines, listblocks, repeats, setjoin, suffixes
 
 
 def tuples(df):
@@ -111,6 +111,34 @@ def test_lines(docs, rows, short, monkeypatch):
     assert got == brute.kept_lines(rows)
 
 
+@pytest.mark.parametrize("pivots", [True, False])
+@pytest.mark.parametrize("volume", [300, 5000])
+def test_lines_in_blocks(docs, rows, volume, pivots, monkeypatch):
+    monkeypatch.setattr(setjoin, "SHORT", 1)
+    monkeypatch.setattr(listblocks, "VOLUME", volume)
+    if not pivots:
+        monkeypatch.setattr(lines, "pivot_pairs", lambda named, gone: named.select("a", named["a"].alias("b")).limit(0))
+    got = {r.doc_id: (r["__n_lines"], r["__n_removed"], r.text or "")
+           for r in lines.deduplicated(docs, counts=True).collect()}
+    assert got == brute.kept_lines(rows)
+
+
+def test_earlier_finds_every_set_with_a_similar_one_before_it():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        base = [rng.choice(40, rng.integers(1, 25), replace=False) for _ in range(6)]
+        sets = []
+        for _ in range(40):
+            one = set(base[rng.integers(6)].tolist()) ^ set(rng.choice(60, rng.integers(0, 4)).tolist())
+            sets.append(np.sort(np.array(sorted(one or {99}), np.uint64)))
+        query, partner = rng.random(40) < 0.7, rng.random(40) < 0.7
+        found = listblocks.earlier(np.array([len(x) for x in sets]), np.concatenate(sets), query, partner)
+        want = [bool(query[i]) and any(
+            partner[j] and brute.similar(frozenset(sets[i].tolist()), frozenset(sets[j].tolist()))
+            for j in range(i)) for i in range(40)]
+        assert found.tolist() == want
+
+
 def test_lines_stage_drops_only_emptied_documents(docs, rows):
     left = lines.without_repeats(docs)
     assert left.columns == docs.columns
