@@ -1,7 +1,7 @@
 """Search of long posting lists in tasks of bounded volume: which sets have a similar one before them.
 
-Posting lists are dealt to buckets by their token, as many as their volume asks for, so a set travels at
-most once per prefix token, and only once while all fits one bucket. In a bucket sets lie in bands of size:
+Posting lists are dealt to buckets by their token, as many as the volume of the sets asks for, so a set
+travels at most once per prefix token, and only once while all sets fit one bucket. In a bucket sets lie in bands of size:
 a link joins sets of one band or of two that are neighbours. A bucket's band that a hot token has
 filled beyond the bound is cut into blocks, and two blocks meet in one task.
 """
@@ -88,7 +88,7 @@ def matched(lists: DataFrame, members: DataFrame) -> DataFrame:
     sized = members.select(F.col("one").alias("node"), "size", band.alias("band"))
     entries = lists.drop("size").join(sized, "node")
     weight = F.col("size") + ROW
-    volume = entries.agg(F.sum(weight)).first()[0] or 0  # one number
+    volume = entries.select("node", "size").distinct().agg(F.sum(weight)).first()[0] or 0  # one number
     bucket = F.pmod(F.xxhash64("token"), F.lit(volume // VOLUME + 1))
     light = (entries.select(bucket.alias("bucket"), "node", "size", "band", "query",
                             *[k.alias(name) for k, name in zip(keys, ORDER)]).distinct()
