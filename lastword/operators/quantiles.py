@@ -7,9 +7,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from lastword import settings as S
 from lastword.sources.scratch import cut
 
 DIGIT = 16  # bits that one level looks at: a group has at most 65,536 cells there
+BUCKETS = 1 << 16  # groups are dealt to so many buckets to see which of them may be large
 _FRACTION = 2.0 ** 52
 _LEAST_NORMAL = 2.0 ** -1022
 _INFINITE = 0x7FF << 52
@@ -42,9 +44,43 @@ def _counted(rows: DataFrame, value: str, groups: list[str]) -> DataFrame:
 
 
 def order_statistics(rows: DataFrame, value: str, picks: dict[str, Callable[[Column], Column]],
-                     groups: Sequence[str] = ()) -> DataFrame:
+                     groups: Sequence[str] = (), sorted_rows: int | None = None) -> DataFrame:
     """One row per group: `n` and, per pick, the value at a zero-based index computed from `n`.
 
+    Groups are dealt to BUCKETS buckets by their hash. A group in a bucket of at most `sorted_rows` rows
+    has no more itself: its values are sorted where they meet, after one shuffle. Groups of fuller
+    buckets, and a whole table without groups, take the radix selection, which gathers no group.
+    """
+    groups, limit = list(groups), sorted_rows or S.CHUNK_ROWS
+    held = rows.filter(F.col(value).isNotNull()).select(*groups, value)
+    if not groups:
+        return _by_radix(held, value, picks, groups)
+    tagged = held.withColumn("_bucket", F.pmod(F.xxhash64(*groups), F.lit(BUCKETS)))
+    full = cut(tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+               .select("_bucket"), "full")
+    if full.isEmpty():
+        return _by_sort(held, value, picks, groups)
+    large = tagged.join(full, "_bucket", "left_semi").drop("_bucket")
+    small = tagged.join(full, "_bucket", "left_anti").drop("_bucket")
+    return _by_sort(small, value, picks, groups).unionByName(_by_radix(large, value, picks, groups))
+
+
+def _by_sort(rows: DataFrame, value: str, picks: dict[str, Callable[[Column], Column]],
+             groups: list[str]) -> DataFrame:
+    """The picks of groups of bounded size. The shuffle of the windows serves the last grouping too."""
+    whole = Window.partitionBy(*groups)
+    ranked = (rows.withColumn("_at", F.row_number().over(whole.orderBy(value)) - 1)
+              .withColumn("n", F.count(F.lit(1)).over(whole)))
+    return ranked.groupBy(*groups).agg(
+        F.max("n").alias("n"),
+        *[F.max(F.when(F.col("_at") == index(F.col("n")).cast("bigint"), F.col(value))).alias(name)
+          for name, index in picks.items()])
+
+
+def _by_radix(rows: DataFrame, value: str, picks: dict[str, Callable[[Column], Column]],
+              groups: list[str]) -> DataFrame:
+    """The picks of groups of any size.
+
     1. Equal values collapse to (key, count) before the shuffle, so a value that fills a third of the
        rows is one row. The result is written once; every level reads it.
     2. A level counts the next DIGIT bits of the keys below each wanted prefix. At most 65,536 cells of
@@ -52,7 +88,6 @@ def order_statistics(rows: DataFrame, value: str, picks: dict[str, Callable[[Col
     3. How many levels there are follows from the widest group's range of keys: one for 65,536 values in
        a row, four for all doubles. The last level's cells are single values.
     """
-    groups = list(groups)
     counted = cut(_counted(rows, value, groups), "counts")
     span = (counted.groupBy(*groups).agg(F.min("_k").alias("_low"), F.max("_k").alias("_high"))
             .agg(F.max(F.length(F.bin(F.col("_low").bitwiseXOR(F.col("_high"))))).alias("bits")).first())

@@ -161,6 +161,23 @@ def test_radix_selection_of_nothing_and_of_nulls(spark):
     assert tuple(order_statistics(some, "v", {"p": index_pick(0.5)}).first()) == (1, 2.5)
 
 
+def test_small_groups_are_shuffled_once_and_large_ones_are_not_gathered(spark):
+    rows = [(k % 7 if k % 2 else 9, k * 31 % 1009 / 8) for k in range(1500)]  # half of the rows in group 9
+    frame = spark.createDataFrame(rows, "g int, v double").repartition(3)
+    picks = {"low": low_pick(0.99), "high": high_pick(0.99)}
+    alone = order_statistics(frame, "v", picks, ["g"])
+    assert alone._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
+    mixed = order_statistics(frame, "v", picks, ["g"], sorted_rows=400)
+    for stats in (alone, mixed, order_statistics(frame, "v", picks, ["g"], sorted_rows=1)):
+        found = {r["g"]: tuple(r)[1:] for r in stats.collect()}
+        for g in {g for g, _ in rows}:
+            held = sorted(v for other, v in rows if other == g)
+            n = len(held)
+            assert found.pop(g) == (n, held[math.floor(0.99 * (n - 1))], held[math.ceil(0.99 * (n - 1))])
+        assert not found
+    assert "LeftAnti" in mixed._jdf.queryExecution().optimizedPlan().toString()
+
+
 def iso(ms):
     from datetime import datetime, timezone
     return datetime.fromtimestamp(ms / 1000, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.") + f"{ms % 1000:03d}Z"
