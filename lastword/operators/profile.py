@@ -22,21 +22,19 @@ MINUTE_US = 60_000_000
 def observed(feed: DataFrame) -> DataFrame:
     """Body-free view of the raw feed. The profile is lenient: it asks for presence, not validity."""
     raw = F.col("raw")
-    # Nothing may follow the message: read inside an array and inside an object, it stays one value.
-    alone = ((F.json_array_length(F.concat(F.lit("["), raw, F.lit("]"))) == 1)
-             & (F.size(F.json_object_keys(F.concat(F.lit('{"w":'), raw, F.lit("}")))) == 1))
-    parsed = feed.withColumn("_v", F.when(alone, F.try_parse_json(raw)))
-
-    def text(path: str) -> Column:
-        return F.try_variant_get("_v", path, "string")
-
-    fields = {name: text(f"$.payload.{name}") for name in ("seq", "time", *IDENTITY)}
+    # Nothing may follow the message: inside an array and inside an object it stays one value. The read
+    # inside an object is that for the fields, and all fields are taken out of it at once.
+    alone = F.json_array_length(F.concat(F.lit("["), raw, F.lit("]"))) == 1
+    inside = F.try_parse_json(F.concat(F.lit('{"w":'), raw, F.lit("}")))
+    names = ("$type", "seq", "time", *IDENTITY)
+    shape = ", ".join(f"`{name}`: string" for name in names)
+    parsed = feed.withColumn("_p", F.try_variant_get(F.when(alone, inside), "$.w.payload", f"struct<{shape}>"))
     session = F.col("session") if "session" in feed.columns else F.lit(1)
     read = parsed.select(
         "offset", session.alias("session"), F.octet_length("raw").alias("bytes"),
         instants.instant_micros(F.col("received_at")).alias("received_us"),
-        text("$.payload['$type']").alias("type_text"),
-        *[value.alias(name) for name, value in fields.items()])
+        F.col("_p.`$type`").alias("type_text"),
+        *[F.col(f"_p.{name}").alias(name) for name in names[1:]])
     complete = F.col("seq").isNotNull()
     for name in IDENTITY:
         complete = complete & F.col(name).isNotNull()

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lastword.functions import display, keys
-from lastword.operators import accounts, activity as act, newest as nw
+from lastword.operators import accounts, activity as act, newest as nw, profile
 from lastword.operators.quantiles import index_pick, order_statistics
 from lastword.operators.reconcile import compare, verdict
 from lastword.operators.scan import running_max_before, seen_before
@@ -225,3 +225,16 @@ def test_reconcile_cases_and_verdict(spark):
 def test_activity_keys_repeat_only_for_the_same_event(spark):
     rows = log(spark, event(), event())
     assert act.activity_rows(rows).count() == 1
+
+
+def test_profile_takes_all_fields_out_of_one_parse(spark):
+    good = '{"payload":{"$type":"feed#commit","seq":1.50,"time":null,"did":{"a":[1]},"rev":true}}'
+    texts = [good, f" \n{good} ", good + good, f"{good},{good}", good + "}", good + "]", f"{good}],[1", f'{good},"x":1',
+             f'{good}}},"y":{{"a":1}}', f"[{good}]", f'{{"w":{good}}}', "", " ", "1", None, '{"payload":5}', good[:-1]]
+    feed = spark.createDataFrame([(k, text, "2024-01-01T00:00:01Z") for k, text in enumerate(texts)],
+                                 "offset bigint, raw string, received_at string")
+    seen = profile.observed(feed)
+    found = {r["offset"]: (r["kind"], r["seq"], r["did"], r["rev"]) for r in seen.filter("kind IS NOT NULL").collect()}
+    assert found == {k: ("commit", "1.5", '{"a":[1]}', "true") for k in (0, 1)}
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("json_object_keys") == 0 and plan.count("variant_get") == 1
