@@ -14,10 +14,11 @@ table gives no rows; other columns are kept as they are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,21 +28,32 @@ from lastword.llm import setjoin as sj
 NOT_BREAK = np.arange(256) != 10
 
 
-def cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, first word of each line with words, its text, and the line's first and last byte."""
+def bounds(texts: pa.Array) -> tuple[np.ndarray, ...]:
+    """Lowered bytes, starts and ends of words; first word of each line with words (and the end), its text, and
+    the line's first and last byte."""
     data, offsets = textops.flat(texts)
-    data = textops.LOWER[data]
+    data = textops.looked_up(data, textops.LOWER)
     starts, ends, _ = textops.spans(data, offsets, textops.NOT_SPACE)
     low, high, _ = textops.spans(data, offsets, NOT_BREAK)
-    first = np.searchsorted(starts, low)
-    full = np.searchsorted(starts, high) > first
-    low, high, first = low[full], high[full], first[full]
+    first = np.searchsorted(starts, np.append(low, len(data)))
+    full = first[1:] > first[:-1]
+    low, high = low[full], high[full]
     of = np.searchsorted(offsets, low, "right") - 1
-    return textops.span_hashes(data, starts, ends), np.append(first, len(starts)), of, low, high
+    return data, starts, ends, np.append(first[:-1][full], len(starts)), of, low, high
 
 
-def lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return cut(texts)[:3]
+def lines(texts: pa.Array, places: np.ndarray | None = None,
+          wanted: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, the first word and the text of each line with words; only of lines at a wanted place, if asked
+    for. A line's place is its text's plus its number."""
+    data, starts, ends, first, of, _, _ = bounds(texts)
+    if wanted is not None:
+        keep = wanted(places[of] + (np.arange(len(of)) - np.searchsorted(of, of)))
+        count = np.diff(first)
+        mine = np.repeat(keep, count)
+        starts, ends, of = starts[mine], ends[mine], of[keep]
+        first = np.concatenate([[0], np.cumsum(count[keep])])
+    return textops.word_hashes(data, starts, ends), first, of
 
 
 def verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -92,8 +104,10 @@ def removed_nodes(rows: DataFrame, text: str, units: DataFrame,
     met = frames.written(sj.candidates(sj.postings(rows, text, lines, classes, tokens), tokens), "met")
     alive, short, long = sj.surviving(met)
     firsts = frames.written(of_class.withColumn("a", sj.class_column()).join(alive, "a", "left_semi"), "firsts")
-    members = sj.member_sets(rows, text, lines,
-                             short.select("a").union(short.select("b")).union(long.select("a")))
+    first = F.col("first")
+    members = sj.member_sets(rows.withColumn("place", place_of(F.col("__id"), F.col("__hash"))), text, lines,
+                             short.select("a").union(short.select("b")).union(long.select("a")),
+                             firsts.select("a", (place_of(first["__id"], first["__hash"]) + first["line"]).alias("place")))
     gone = frames.written(later(verified(short, members), firsts).distinct(), "gone")
     if long.isEmpty():
         return gone, firsts
@@ -111,6 +125,11 @@ def row_key() -> list[Column]:
     return [F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__hash")]
 
 
+def place_of(doc_id: Column, text_hash: Column) -> Column:
+    """A number for a text to which its lines' numbers are added; below 2^62, so that no sum overflows."""
+    return F.shiftrightunsigned(F.xxhash64(doc_id, text_hash), 2)
+
+
 def marked(docs: DataFrame) -> DataFrame:
     """__id, __hash and the sorted numbers of the removed lines of every document that has any.
 
@@ -147,9 +166,9 @@ def deduplicated(docs: DataFrame, counts: bool = False) -> DataFrame:
         for batch in batches:
             texts = batch.column(at)
             data, offsets = textops.flat(texts)
-            _, _, of, low, high = cut(texts)
+            *_, of, low, high = bounds(texts)
             begin = np.searchsorted(of, np.arange(len(texts) + 1))
-            out, taken = texts.to_pylist(), np.zeros(len(texts), np.int64)
+            out, taken = [], np.zeros(len(texts), np.int64)
             for i, numbers in enumerate(batch.columns[-1].to_pylist()):
                 if not numbers:
                     continue
@@ -161,10 +180,11 @@ def deduplicated(docs: DataFrame, counts: bool = False) -> DataFrame:
                     left = np.flatnonzero(keep)
                     if len(left) and data[offsets[i] + left[-1]] == 10:
                         keep[left[-1]] = False
-                out[i] = data[offsets[i]:offsets[i + 1]][keep].tobytes().decode()
+                out.append(data[offsets[i]:offsets[i + 1]][keep].tobytes().decode())
                 taken[i] = len(numbers)
             cols = list(batch.columns[:-1])
-            cols[at] = pa.array(out, pa.string())
+            if out:
+                cols[at] = pc.replace_with_mask(texts, pa.array(taken > 0), pa.array(out, texts.type))
             yield pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(begin)), pa.array(taken)],
                                              [*columns, "__n_lines", "__n_removed"])
 

@@ -38,6 +38,7 @@ ENTRY = np.dtype([("token", "<u4"), ("class_low", "<u4"), ("class_high", "<u2"),
 HEAVY_ENTRY = np.dtype([("token", "<u8"), ("class_low", "<u4"), ("class_high", "<u2"), ("size", "<u2")])
 MOST = 65535  # sizes and places beyond are unknown to the filters and pass them
 CLASS_BITS = 48
+PAGE = 1 << 16  # bits of a bitmap that are gathered in one row
 
 Cut = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -45,9 +46,9 @@ Cut = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
 def documents(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes; the first word of each unit; the text of each unit. Here a unit is a text."""
     data, offsets = textops.flat(texts)
-    data = textops.LOWER[data]
+    data = textops.looked_up(data, textops.LOWER)
     starts, ends, first = textops.spans(data, offsets, textops.NOT_SPACE)
-    return textops.span_hashes(data, starts, ends), first, np.arange(len(texts))
+    return textops.word_hashes(data, starts, ends), first, np.arange(len(texts))
 
 
 @dataclass
@@ -61,30 +62,46 @@ class Sets:
     two: np.ndarray
 
 
-def sets(words: np.ndarray, first: np.ndarray, rarity: np.ndarray | None) -> Sets:
-    token, begin = textops.shingles(words, first, WORDS)
-    token >>= np.uint64(6)
+def _sorted_by_unit(key: np.ndarray, begin: np.ndarray) -> None:
+    """Sorts in place the keys of each 64 units in a row, which hold the unit's last six bits above all others."""
+    for low in range(0, len(begin) - 1, 64):
+        key[begin[low]:begin[min(low + 64, len(begin) - 1)]].sort()
+
+
+def sets(words: np.ndarray, first: np.ndarray) -> Sets:
+    """The units' sets, with a rarity class of zero everywhere."""
+    key, begin = textops.shingles(words, first, WORDS)
+    key >>= np.uint64(6)
     units = len(first) - 1
     owner = np.repeat(np.arange(units), np.diff(begin))
-    if rarity is not None:
-        token |= rarity[token & np.uint64(COUNTERS - 1)].astype(np.uint64) << np.uint64(58)
-    order = np.argsort(token)
-    step = owner[order]
-    order = order[np.argsort(step.astype(np.uint16) if units <= 65536 else step, kind="stable")]
-    token, owner = token[order], owner[order]
-    new = np.ones(len(token), bool)
-    new[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-    token, owner = token[new], owner[new]
-    size = np.bincount(owner, minlength=units)
+    key |= owner.astype(np.uint64) << np.uint64(58)
+    _sorted_by_unit(key, begin)
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    token = key[new] & np.uint64((1 << 58) - 1)
+    size = np.bincount(owner[new], minlength=units)
     begin = np.concatenate([[0], np.cumsum(size)])
-    plain = token & np.uint64((1 << 58) - 1)
 
     def total(x: np.ndarray) -> np.ndarray:
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)])
         return textops.mixed(sums[begin[1:]] - sums[begin[:-1]] + size.astype(np.uint64))
 
-    return Sets(token, begin, size, total(textops.mixed(plain)),
-                total(textops.mixed(plain ^ np.uint64(0x2545F4914F6CDD1D))))
+    return Sets(token, begin, size, total(textops.mixed(token)),
+                total(textops.mixed(token ^ np.uint64(0x2545F4914F6CDD1D))))
+
+
+def rarest_first(found: Sets, fresh: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of the units marked `fresh`, by rarity class (then in their upper six bits), then by hash; and the
+    first of each of these units, the end added."""
+    size = found.size[fresh]
+    token = found.tokens[np.repeat(fresh, found.size)]
+    begin = np.concatenate([[0], np.cumsum(size)])
+    owner = np.repeat(np.arange(len(size)), size)
+    rare = rarity[token & np.uint64(COUNTERS - 1)].astype(np.uint64)
+    key = (owner.astype(np.uint64) << np.uint64(58)) | (rare << np.uint64(48)) | np.arange(len(token)).astype(np.uint64)
+    _sorted_by_unit(key, begin)
+    token = token[key & np.uint64((1 << 48) - 1)]
+    return token | (key >> np.uint64(48) & np.uint64(63)) << np.uint64(58), begin
 
 
 def class_id(one: np.ndarray) -> np.ndarray:
@@ -113,7 +130,7 @@ def described(rows: DataFrame, text: str, keep: list[str], cut: Cut, nth: str |
         types = None
         for batch in batches:
             words, first, of = cut(batch.columns[-1])
-            found = sets(words, first, None)
+            found = sets(words, first)
             counts += np.bincount((found.tokens & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
             kept = [c.take(pa.array(of)) for c in batch.columns[:-1]]
             types = [c.type for c in batch.columns[:-1]]
@@ -207,18 +224,19 @@ def postings(rows: DataFrame, text: str, cut: Cut, classes: np.ndarray, tokens:
         waiting = 0
         for batch in batches:
             words, first, _ = cut(batch.column(0))
-            found = sets(words, first, shared.value)
+            found = sets(words, first)
             fresh = np.zeros(len(found.size), bool)
             for i, one in enumerate(found.one.tolist()):
                 if found.size[i] and one not in seen:
                     seen.add(one)
                     fresh[i] = True
-            long = np.where(fresh, prefix(found.size), 0)
+            token, begin = rarest_first(found, fresh, shared.value)
+            long = prefix(found.size[fresh])
             total = np.concatenate([[0], np.cumsum(long)])
             at = np.arange(total[-1]) - np.repeat(total[:-1], long)
-            pick = at + np.repeat(found.begin[:-1], long)
-            pending.append((found.tokens[pick], np.repeat(class_id(found.one), long),
-                            np.repeat(found.size, long), at))
+            pick = at + np.repeat(begin[:-1], long)
+            pending.append((token[pick], np.repeat(class_id(found.one[fresh]), long),
+                            np.repeat(found.size[fresh], long), at))
             waiting += int(total[-1])
             if waiting >= FLUSH:
                 yield flush()
@@ -229,6 +247,18 @@ def postings(rows: DataFrame, text: str, cut: Cut, classes: np.ndarray, tokens:
     return rows.select(text).mapInArrow(run, "bucket bigint, entries binary")
 
 
+def sorted_entries(token: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """np.lexsort((which, token)), in any order where both are equal."""
+    if len(token) and 0 <= token.min() and token.max() < 1 << 32:
+        key = token.astype(np.uint64) << np.uint64(32) | (which >> CLASS_BITS - 32).astype(np.uint64)
+        order = np.argsort(key)
+        key = key[order]
+        tie = key[1:] == key[:-1]
+        if not (tie & (which[order[1:]] != which[order[:-1]])).any():
+            return order
+    return np.lexsort((which, token))
+
+
 def possible(size_a, size_b, at_a, at_b) -> np.ndarray:
     """The length filter, and the positional one for a shared token."""
     small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
@@ -250,7 +280,7 @@ def candidates(packed: DataFrame, tokens: int) -> DataFrame:
         one = np.frombuffer(blobs, ENTRY if bucket >= 0 else HEAVY_ENTRY)
         token = one["token"].astype(np.int64)
         which = one["class_low"].astype(np.int64) | one["class_high"].astype(np.int64) << 32
-        order = np.lexsort((which, token))
+        order = sorted_entries(token, which)
         token, which = token[order], which[order]
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (which[1:] != which[:-1])
@@ -320,31 +350,62 @@ def surviving(met: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return alive.select("a"), frames.written(pairs, "pairs"), frames.written(long, "lists")
 
 
-def member_sets(rows: DataFrame, text: str, cut: Cut, members: DataFrame) -> DataFrame:
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """Bits at the whole numbers of a one-column table, modulo their count: 16 or more a key, of 1 to 16 MB."""
+    keys = frames.written(keys.toDF("key"), "keys")
+    bits = 1 << min(27, max(23, (16 * keys.count()).bit_length()))
+    spot = F.pmod(F.col("key"), F.lit(bits))
+
+    def page(table: pa.Table) -> pa.Table:
+        flags = np.zeros(PAGE, bool)
+        flags[table.column("bit").to_numpy()] = True
+        return pa.table({"page": table.column("page").slice(0, 1),
+                         "flags": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
+
+    pages = (keys.select(F.floor(spot / PAGE).alias("page"), F.pmod(spot, F.lit(PAGE)).alias("bit"))
+             .groupBy("page").applyInArrow(page, "page bigint, flags binary"))
+    flags = np.zeros((bits // PAGE, PAGE // 8), np.uint8)
+    for row in pages.collect():  # 128 to 2,048 pages
+        flags[row["page"]] = np.frombuffer(row["flags"], np.uint8)
+    return flags.ravel()
+
+
+def marked(flags: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the bits of these whole numbers are set."""
+    spot = keys.view(np.uint64) & np.uint64(8 * len(flags) - 1)
+    return (flags[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def member_sets(rows: DataFrame, text: str, cut: Cut, members: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """class, one, two, size and sorted tokens of every class among `members` (column a), written.
 
-    A bitmap of bounded size spares most other classes the shuffle; the join is exact.
+    A bitmap of bounded size spares most other classes the shuffle; the join is exact. Where firsts (a, place)
+    tells a place at which each class stands, `cut` takes, beside the texts, their places (column `place` of
+    rows) and a filter of units by place, and no other unit is hashed.
     """
     wanted = members.select("a").distinct()
-    bits = 1 << 23
-    spot = F.pmod(F.col("a"), F.lit(bits))
-    found = (wanted.select(F.floor(spot / 64).alias("word"), F.pmod(spot, F.lit(64)).cast("int").alias("bit"))
-             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect())
-    flags = np.zeros(bits // 64, np.uint64)  # bits / 64 numbers at most
-    for row in found:
-        flags[row["word"]] = np.uint64(row["bits"] & (2**64 - 1))
-    shared = rows.sparkSession.sparkContext.broadcast(flags)
+    if firsts is None:
+        flags = bitmap(wanted)
+    else:
+        wanted = frames.written(wanted, "wanted")
+        flags = bitmap(firsts.join(wanted, "a", "left_semi").select("place"))
+    shared, by_place = rows.sparkSession.sparkContext.broadcast(flags), firsts is not None
     frames.small_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            words, first, _ = cut(batch.column(0))
-            found = sets(words, first, None)
-            spot = found.one & np.uint64(bits - 1)
-            hit = (shared.value[spot >> np.uint64(6)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)
+            if by_place:
+                places = batch.column(1).to_numpy()
+                words, first, _ = cut(batch.column(0), places, lambda x: marked(shared.value, x))
+            else:
+                words, first, _ = cut(batch.column(0))
+            found = sets(words, first)
+            hit = found.size > 0
+            if not by_place:
+                hit &= marked(shared.value, class_id(found.one))
             keep = []
-            for i in np.flatnonzero(hit & (found.size > 0)).tolist():
+            for i in np.flatnonzero(hit).tolist():
                 one = int(found.one[i])
                 if one not in seen:
                     seen.add(one)
@@ -355,7 +416,8 @@ def member_sets(rows: DataFrame, text: str, cut: Cut, members: DataFrame) -> Dat
                  pa.array(found.two[keep].view(np.int64)), pa.array(found.size[keep].astype(np.int64)),
                  pa.array(blobs, pa.binary())], ["class", "one", "two", "size", "tokens"])
 
-    every = rows.select(text).mapInArrow(run, "class bigint, one bigint, two bigint, size bigint, tokens binary")
+    texts = rows.select(text, "place") if by_place else rows.select(text)
+    every = texts.mapInArrow(run, "class bigint, one bigint, two bigint, size bigint, tokens binary")
     mine = every.join(wanted.withColumnRenamed("a", "class"), "class", "left_semi")
     return frames.written(mine.dropDuplicates(["class", "one", "two"]), "members")
 

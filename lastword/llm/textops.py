@@ -8,6 +8,8 @@ import pyarrow as pa
 MULT = 0x9E3779B97F4A7C15 | 1
 INV = pow(MULT, -1, 1 << 64)
 CHUNK = 1 << 19  # bytes hashed at once, unless one word is longer
+LONG = 64  # bytes of a word from which on it is hashed by running sums
+STEP = np.uint64(0xD6E8FEB86659FD93)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
@@ -33,12 +35,17 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def looked_up(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """table[data] for bytes and a table of 256 bytes or truths."""
+    return np.frombuffer(data.tobytes().translate(table.tobytes()), table.dtype)
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of maximal runs of `inside` bytes that stay within one text, and for each
     text the index of its first run (len + 1 values)."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inner = inside[data]
+    inner = looked_up(data, inside)
     begins = inner.copy()
     begins[1:] &= ~inner[:-1]
     edge = offsets[1:-1]
@@ -90,6 +97,24 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span's bytes, eight at a time; other values than those of span_hashes."""
+    length = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    mask = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    out = mixed((eight[starts] & mask[np.minimum(length, 8)]) ^ length.astype(np.uint64) * STEP)
+    at, left = 8, np.flatnonzero((length > 8) & (length <= LONG))
+    while len(left):
+        rest = length[left] - at
+        more = eight[starts[left] + at] & mask[np.minimum(rest, 8)]
+        out[left] = mixed(out[left] * STEP + more)
+        at, left = at + 8, left[rest > 8]
+    long = np.flatnonzero(length > LONG)
+    out[long] = span_hashes(data, starts[long], ends[long])
+    return out
+
+
 def shingles(words: np.ndarray, firsts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all k-word shingles of each text and the index of each text's first one; a text
     of fewer words, but not none, has one shingle: all its words."""
@@ -99,12 +124,22 @@ def shingles(words: np.ndarray, firsts: np.ndarray, k: int) -> tuple[np.ndarray,
     if not begin[-1]:
         return np.zeros(0, np.uint64), begin
     at = np.arange(begin[-1]) + np.repeat(firsts[:-1] - begin[:-1], each)
-    length = np.repeat(np.minimum(count, k), each)
-    total = length.astype(np.uint64)
-    step, power = np.uint64(0xD6E8FEB86659FD93), np.uint64(1)
+    weights, power = [], np.uint64(1)
     with np.errstate(over="ignore"):
-        for j in range(k):
-            power = power * step
-            here = np.minimum(at + j, len(words) - 1)
-            total = total + np.where(j < length, words[here] * power, np.uint64(0))
+        for _ in range(k):
+            power = power * STEP
+            weights.append(power)
+    # At each word the sum of the k words from there on, though they may belong to several texts.
+    last = max(0, len(words) - k)
+    sums = np.full(last + 1, k, np.uint64)
+    if len(words) >= k:
+        for j, weight in enumerate(weights):
+            sums += words[j:last + 1 + j] * weight
+    total = sums[np.minimum(at, last)]
+    short = np.flatnonzero((count > 0) & (count < k))
+    start, held = firsts[:-1][short], count[short]
+    few = held.astype(np.uint64)
+    for j, weight in enumerate(weights[:-1]):
+        few += np.where(j < held, words[np.minimum(start + j, len(words) - 1)] * weight, np.uint64(0))
+    total[begin[:-1][short]] = few
     return mixed(total), begin
