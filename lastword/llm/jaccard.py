@@ -90,19 +90,20 @@ def divide_skip(query: np.ndarray, others: list[np.ndarray]) -> list[int]:
     return out
 
 
-def linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
+def linked(pairs: DataFrame, members: DataFrame, few: bool = False) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by the hashes of the classes' sets.
 
     The set of a travels once for up to some SALTS_OF candidates, which follow it in the same sorted part and
-    are searched together.
+    are searched together. few: the pairs leave out most members, so that each side is chosen before its shuffle.
     """
     many = frames.written(pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > SALTS_OF), "many")
     salts = F.coalesce(F.floor(F.col("n") / SALTS_OF) + 1, F.lit(1))
     keyed = pairs.join(many, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), salts).alias("salt"))
+    one_side = [sj.only(members, pairs.select(F.col(x).alias("a"))) if few else members for x in "ab"]
     heads = (keyed.select("a", "salt").distinct()
-             .join(members.select(F.col("class").alias("a"), "one", "tokens"), "a")
+             .join(one_side[0].select(F.col("class").alias("a"), "one", "tokens"), "a")
              .select("a", "salt", F.lit(False).alias("other"), "one", "tokens"))
-    tails = (keyed.join(members.select(F.col("class").alias("b"), "one", "tokens"), "b")
+    tails = (keyed.join(one_side[1].select(F.col("class").alias("b"), "one", "tokens"), "b")
              .select("a", "salt", F.lit(True).alias("other"), "one", "tokens"))
     dealt = heads.unionByName(tails).repartition("a", "salt").sortWithinPartitions("a", "salt", "other")
     frames.small_batches(pairs.sparkSession, 128)
@@ -236,9 +237,8 @@ def block_links(left: DataFrame, members: DataFrame) -> DataFrame:
     task searches members of a band and the next one among those of the band.
     """
     band = F.floor(F.log("size") / F.log(F.lit(sj.OF / sj.NEED)))
-    held = members.join(left.withColumnRenamed("a", "class"), "class").select("one", "component", "size", "tokens",
-                                                                               band.alias("band"))
-    light = held.drop("tokens")
+    light = (members.join(left.withColumnRenamed("a", "class"), "class")
+             .select("one", "component", "size", band.alias("band")))
     groups = light.withColumn("group", F.explode(F.array("band", F.col("band") - 1)))
     volume = groups.groupBy("group").agg((F.floor(F.sum("size") / VOLUME) + 1).alias("blocks"),
                                          F.min("band").alias("_low"), F.min("component").alias("_l"),
@@ -248,7 +248,7 @@ def block_links(left: DataFrame, members: DataFrame) -> DataFrame:
              .withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .select("group", F.least("block", "met").alias("low"), F.greatest("block", "met").alias("high"),
                      "one", "component", "size", (F.col("band") == F.col("group")).alias("partner")))
-    met = dealt.join(held.select("one", "tokens"), "one")
+    met = dealt.join(sj.only(members, left).select("one", "tokens"), "one")
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("size")
@@ -287,7 +287,8 @@ def links_of(docs: DataFrame, text: str, units: DataFrame) -> tuple[DataFrame, D
     lists = mixed(long, labels, members)
     if lists.isEmpty():
         return links, labels
-    links = links.union(linked(pivot_pairs(lists), members))
+    pairs = frames.written(pivot_pairs(lists), "pivot-pairs")
+    links = links.union(linked(pairs, members, few=True))
     labels = components(links)
     lists = mixed(lists.select("a", "size", "token"), labels, members)
     more = block_links(lists.select("a", "component").distinct(), members)

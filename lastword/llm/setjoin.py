@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
-from pyspark.sql.window import Window
 
 from lastword.llm import frames, textops
 
@@ -432,44 +431,68 @@ def with_both_sets(pairs: DataFrame, members: DataFrame) -> DataFrame:
         F.col("id_a").alias("a"), "size_a", "tokens_a", F.col("id_b").alias("b"), "size_b", "tokens_b")
 
 
-def cross_tokens(lists: DataFrame, members: DataFrame) -> DataFrame:
-    """a, component, size, token and df: the tokens of the lists' members that stand in members of
-    several components, and in how many members. Linear in the members' tokens."""
-    of = lists.select("a", "component").distinct()
-    picked = members.join(of, members["class"] == of["a"]).select("a", "component", "size", "tokens")
-    frames.small_batches(lists.sparkSession)
+def only(members: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The members of the wanted classes (column a), and by chance a few others: a bitmap spares the rest the shuffle."""
+    shared = members.sparkSession.sparkContext.broadcast(bitmap(wanted.select("a").distinct()))
+    frames.small_batches(members.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = batch.column(2).to_numpy()
-            tokens = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.int64)
-            spread = [pa.array(np.repeat(batch.column(k).to_numpy(), sizes)) for k in (0, 1, 2)]
-            yield pa.RecordBatch.from_arrays([*spread, pa.array(tokens)], ["a", "component", "size", "token"])
+            yield batch.filter(pa.array(marked(shared.value, batch.column(0).to_numpy())))
 
-    tokens = picked.mapInArrow(run, "a bigint, component bigint, size bigint, token bigint")
-    several = (tokens.groupBy("token").agg(F.min("component").alias("_l"), F.max("component").alias("_h"),
-                                           F.count("*").alias("df")).where("_l <> _h").select("token", "df"))
-    return tokens.join(several, "token")
+    return members.select("class", "one", "two", "size", "tokens").mapInArrow(
+        run, "class bigint, one bigint, two bigint, size bigint, tokens binary")
 
 
 def able(lists: DataFrame, members: DataFrame) -> DataFrame:
     """Members (a) of the lists that can still have a link to another component: as many of their tokens
-    as a link needs stand in some member of another component."""
-    return (cross_tokens(lists, members).groupBy("a").agg(F.count("*").alias("n"), F.max("size").alias("size"))
-            .where(F.col("n") * OF >= F.col("size") * NEED).select("a"))
-
-
-def rarest_prefixes(lists: DataFrame, members: DataFrame) -> DataFrame:
-    """a, component, size and token: of each member the rarest of its cross tokens, so many that a link
-    needs one of them. Two linked sets share at least ceil(t n) of the n_c cross tokens of either, so
-    n_c - ceil(t n) + 1 suffice, in one order for all. A member's tokens are ranked by themselves."""
-    tokens = cross_tokens(lists, members)
-    own = Window.partitionBy("a")
-    ranked = (tokens.withColumn("_n", F.count("*").over(own))
-              .withColumn("_rank", F.row_number().over(own.orderBy("df", "token"))))
-    need = F.ceil(F.col("size") * NEED / OF)
-    return (ranked.where(F.col("_rank") <= F.col("_n") - need + 1)
-            .select("a", "component", "size", "token"))
+    as a link needs stand in some member of another component. Linear in the members' tokens.
+
+    Tokens travel once, packed by buckets, as 32 bits each beside the runs of their members; two tokens that are
+    equal there can only keep a member that need not stay.
+    """
+    of = lists.select("a", "component").distinct()
+    picked = (only(members, of).join(of, F.col("class") == F.col("a")).select("a", "component", "size", "tokens"))
+    buckets = max(64, (members.agg(F.sum("size")).first()[0] or 0) // (4 * BUCKET_ENTRIES))  # one number
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            which, component, size = (batch.column(k).to_numpy() for k in range(3))
+            token = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64)
+            bucket = (token % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket.astype(np.uint16) if buckets <= 65536 else bucket, kind="stable")
+            bucket, owner = bucket[order], np.repeat(np.arange(len(size)), size)[order]
+            token = (token[order] // np.uint64(buckets)).astype(np.uint32)
+            run = np.flatnonzero((np.diff(bucket, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
+            length, owner, home = np.diff(np.append(run, len(token))).astype(np.int64), owner[run], bucket[run]
+            cuts = np.flatnonzero(np.diff(home, prepend=-1))
+            rows = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(home)]))
+            begin = np.append(run, len(token))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(home[cuts], pa.int64()),
+                 pa.array([token[begin[i]:begin[j]].tobytes() for i, j in rows], pa.binary()),
+                 *[pa.array([x[i:j].tobytes() for i, j in rows], pa.binary())
+                   for x in (which[owner], component[owner], length.astype(np.uint32))]],
+                ["bucket", "tokens", "which", "component", "length"])
+
+    def count(table: pa.Table) -> pa.Table:
+        token, which, component, length = (
+            np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+            for name, kind in (("tokens", np.uint32), ("which", np.int64), ("component", np.int64), ("length", np.uint32)))
+        order = np.argsort(token)
+        of_run = np.repeat(np.arange(len(length)), length)[order]
+        start = np.flatnonzero(np.diff(token[order].astype(np.int64), prepend=-1))
+        held = component[of_run]
+        several = np.minimum.reduceat(held, start) != np.maximum.reduceat(held, start)
+        several = np.repeat(several, np.diff(np.append(start, len(token))))
+        members_, n = np.unique(which[of_run[several]], return_counts=True)
+        return pa.table({"a": pa.array(members_), "n": pa.array(n.astype(np.int64))})
+
+    packed = picked.mapInArrow(deal, "bucket bigint, tokens binary, which binary, component binary, length binary")
+    counts = (packed.groupBy("bucket").applyInArrow(count, "a bigint, n bigint")
+              .groupBy("a").agg(F.sum("n").alias("n")))
+    sizes = members.groupBy(F.col("class").alias("a")).agg(F.max("size").alias("size"))
+    return counts.join(sizes, "a").where(F.col("n") * OF >= F.col("size") * NEED).select("a")
 
 
 def close(size_a: Column, size_b: Column) -> Column:

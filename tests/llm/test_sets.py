@@ -76,3 +76,28 @@ def test_bitmap_holds_every_key_and_grows_with_their_number(spark):
     assert sj.marked(flags, np.array([r["a"] for r in keys.limit(5000).collect()])).all()
     others = np.array([r["a"] for r in spark.range(1 << 20, (1 << 20) + 5000).selectExpr("xxhash64(id) AS a").collect()])
     assert sj.marked(flags, others).mean() < 0.08
+
+
+def test_able_counts_tokens_of_other_components(spark):
+    rng = random.Random(8)
+    sets = {a: sorted(rng.sample(range(1 << 40, (1 << 40) + 60), rng.randint(4, 12))) for a in range(1, 90)}
+    component = {a: a % 7 for a in sets}
+    listed = [a for a in sets if a % 3]
+    held = {}
+    for a in listed:
+        for t in sets[a]:
+            held.setdefault(t, set()).add(component[a])
+    far = max(sets) + 1  # tokens of its own, and one that others hold
+    sets[far], component[far] = [64005, 64006, 64007, sets[1][0]], 99
+    listed.append(far)
+    held[sets[1][0]].add(99)
+    want = {a for a in listed if 100 * sum(len(held.get(t, ())) > 1 for t in sets[a]) >= 75 * len(sets[a])}
+    members = spark.createDataFrame(
+        [(a, a, a, len(x), bytearray(np.array(x, np.uint64).tobytes())) for a, x in sets.items()],
+        "class long, one long, two long, size long, tokens binary")
+    lists = spark.createDataFrame([(a, component[a], t % 5) for a in listed for t in sets[a]],
+                                  "a long, component long, token long")
+    got = sj.able(lists, members).collect()
+    assert sorted(r["a"] for r in got) == sorted(want) and far not in want
+    kept = {r["class"] for r in sj.only(members, lists).collect()}
+    assert set(listed) <= kept and len(kept) < len(sets)  # others do not travel
