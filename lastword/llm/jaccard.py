@@ -148,7 +148,7 @@ def linked(pairs: DataFrame, members: DataFrame, few: bool = False) -> DataFrame
         search()
         yield emit()
 
-    return frames.written(dealt.mapInArrow(run, "a bigint, b bigint"), "links")
+    return frames.written(dealt.mapInArrow(frames.lean(run), "a bigint, b bigint"), "links")
 
 
 def pivot_pairs(lists: DataFrame) -> DataFrame:
@@ -260,7 +260,7 @@ def block_links(left: DataFrame, members: DataFrame) -> DataFrame:
         return pa.table({"a": pa.array([names[i] for i, _ in found], pa.int64()),
                          "b": pa.array([names[j] for _, j in found], pa.int64())})
 
-    return frames.written(met.groupBy("group", "low", "high").applyInArrow(run, "a bigint, b bigint"), "links")
+    return frames.written(met.groupBy("group", "low", "high").applyInArrow(frames.lean_group(run), "a bigint, b bigint"), "links")
 
 
 def mixed(long: DataFrame, labels: DataFrame, members: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
                     right.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    return frames.written(sj.with_both_sets(pairs, members).mapInArrow(run, "a bigint, b bigint"), "links")
+    return frames.written(sj.with_both_sets(pairs, members).mapInArrow(frames.lean(run), "a bigint, b bigint"), "links")
 
 
 def later(links: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -188,7 +188,7 @@ def deduplicated(docs: DataFrame, counts: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(begin)), pa.array(taken)],
                                              [*columns, "__n_lines", "__n_removed"])
 
-    out = joined.mapInArrow(run, schema)
+    out = joined.mapInArrow(frames.lean(run), schema)
     return out if counts else out.select(*[F.col(f"`{c}`") for c in columns])
 
 

@@ -121,5 +121,5 @@ def matched(lists: DataFrame, members: DataFrame) -> DataFrame:
             found |= earlier(size, tokens, asks & inner & ~found, holds & ~inner)
         return pa.table({"node": pa.array(node[found], pa.int64())})
 
-    return frames.written(met.groupBy("bucket", "group", "low", "high").applyInArrow(run, "node bigint").distinct(),
-                          "matched")
+    found = met.groupBy("bucket", "group", "low", "high").applyInArrow(frames.lean_group(run), "node bigint")
+    return frames.written(found.distinct(), "matched")

@@ -90,7 +90,7 @@ def with_statistics(docs: DataFrame, text: str, keep: list[str], prefix: str = "
                 [*columns[:-1], *(pa.array(found[s], pa.float64()) for s in STATISTICS)],
                 [*keep, *(prefix + s for s in STATISTICS)])
 
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(frames.lean(run), schema)
 
 
 def learn_fold(doc_id: Column) -> Column:

@@ -31,7 +31,7 @@ COUNTERS, PARTS = 1 << 18, 16
 SHARE = 16  # prefixes must share one token more for so many tokens of the set
 SHORT = 8  # lists up to this length give all their pairs at once
 HEAVY, HEAVY_TIMES = 1000, 4
-BUCKET_ENTRIES = 400_000
+BUCKET_ENTRIES = 200_000
 FLUSH = 600_000
 ENTRY = np.dtype([("token", "<u4"), ("class_low", "<u4"), ("class_high", "<u2"), ("size", "<u2"), ("at", "<u2")])
 HEAVY_ENTRY = np.dtype([("token", "<u8"), ("class_low", "<u4"), ("class_high", "<u2"), ("size", "<u2")])
@@ -146,7 +146,7 @@ def described(rows: DataFrame, text: str, keep: list[str], cut: Cut, nth: str |
             yield pa.RecordBatch.from_arrays(
                 [*blank, pa.array(range(PARTS), pa.int32()), pa.array(blobs, pa.binary())], names)
 
-    return frames.written(picked.mapInArrow(run, schema), "sets")
+    return frames.written(picked.mapInArrow(frames.lean(run), schema), "sets")
 
 
 def rarity(described_units: DataFrame) -> tuple[np.ndarray, int]:
@@ -243,7 +243,7 @@ def postings(rows: DataFrame, text: str, cut: Cut, classes: np.ndarray, tokens:
         if waiting:
             yield flush()
 
-    return rows.select(text).mapInArrow(run, "bucket bigint, entries binary")
+    return rows.select(text).mapInArrow(frames.lean(run), "bucket bigint, entries binary")
 
 
 def sorted_entries(token: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -273,8 +273,8 @@ def candidates(packed: DataFrame, tokens: int) -> DataFrame:
     buckets = max(64, tokens // (4 * BUCKET_ENTRIES))
     none = np.zeros(0, np.int64)
 
-    def meet(key: tuple, table: pa.Table) -> pa.Table:
-        bucket = key[0].as_py()
+    def meet(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
         blobs = b"".join(table.column("entries").to_pylist())
         one = np.frombuffer(blobs, ENTRY if bucket >= 0 else HEAVY_ENTRY)
         token = one["token"].astype(np.int64)
@@ -325,7 +325,7 @@ def candidates(packed: DataFrame, tokens: int) -> DataFrame:
             "n": pa.concat_arrays([pa.array(n.astype(np.int64)), gap(len(which)), pa.array(times.astype(np.int64))])})
 
     return packed.groupBy("bucket").applyInArrow(
-        meet, "a bigint, size bigint, b bigint, size_b bigint, token bigint, n bigint")
+        frames.lean_group(meet), "a bigint, size bigint, b bigint, size_b bigint, token bigint, n bigint")
 
 
 def surviving(met: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -416,7 +416,7 @@ def member_sets(rows: DataFrame, text: str, cut: Cut, members: DataFrame, firsts
                  pa.array(blobs, pa.binary())], ["class", "one", "two", "size", "tokens"])
 
     texts = rows.select(text, "place") if by_place else rows.select(text)
-    every = texts.mapInArrow(run, "class bigint, one bigint, two bigint, size bigint, tokens binary")
+    every = texts.mapInArrow(frames.lean(run), "class bigint, one bigint, two bigint, size bigint, tokens binary")
     mine = every.join(wanted.withColumnRenamed("a", "class"), "class", "left_semi")
     return frames.written(mine.dropDuplicates(["class", "one", "two"]), "members")
 
@@ -441,7 +441,7 @@ def only(members: DataFrame, wanted: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(marked(shared.value, batch.column(0).to_numpy())))
 
     return members.select("class", "one", "two", "size", "tokens").mapInArrow(
-        run, "class bigint, one bigint, two bigint, size bigint, tokens binary")
+        frames.lean(run), "class bigint, one bigint, two bigint, size bigint, tokens binary")
 
 
 def able(lists: DataFrame, members: DataFrame) -> DataFrame:
@@ -488,8 +488,9 @@ def able(lists: DataFrame, members: DataFrame) -> DataFrame:
         members_, n = np.unique(which[of_run[several]], return_counts=True)
         return pa.table({"a": pa.array(members_), "n": pa.array(n.astype(np.int64))})
 
-    packed = picked.mapInArrow(deal, "bucket bigint, tokens binary, which binary, component binary, length binary")
-    counts = (packed.groupBy("bucket").applyInArrow(count, "a bigint, n bigint")
+    packed = picked.mapInArrow(
+        frames.lean(deal), "bucket bigint, tokens binary, which binary, component binary, length binary")
+    counts = (packed.groupBy("bucket").applyInArrow(frames.lean_group(count), "a bigint, n bigint")
               .groupBy("a").agg(F.sum("n").alias("n")))
     sizes = members.groupBy(F.col("class").alias("a")).agg(F.max("size").alias("size"))
     return counts.join(sizes, "a").where(F.col("n") * OF >= F.col("size") * NEED).select("a")

@@ -1,6 +1,8 @@
 """Joins of near copies, repeated lines and repeated strings against brute force."""
 
 import hashlib
+import re
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -8,7 +10,7 @@ import pytest
 from conftest import REPEATED, frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from lastword.llm import jaccard, lines, listblocks, repeats, setjoin, suffixes
+from lastword.llm import frames, jaccard, lines, listblocks, repeats, setjoin, suffixes
 
 
 def tuples(df):
@@ -192,3 +194,21 @@ def test_empty_tables(empty):
     assert jaccard.keep_one(empty).count() == 0
     assert lines.deduplicated(empty).count() == 0
     assert repeats.deduplicated(empty).count() == 0
+
+
+def resident():
+    return int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) // 1024
+
+
+@pytest.mark.parametrize("lean", [frames.lean, frames.lean_group])
+def test_tasks_leave_no_unused_memory(lean):
+    last = []
+
+    def run(_):
+        held = [bytes([n % 250]) * 90_000 for n in range(2000)]  # below what malloc maps by itself
+        last.append(b"x" * 90_000)  # on top of them
+        return [len(held)]
+
+    before = resident()
+    assert list(lean(run)([])) == [2000]
+    assert resident() - before < 40
