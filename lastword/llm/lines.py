@@ -25,7 +25,12 @@ from pyspark.sql import functions as F
 from lastword.llm import frames, listblocks, textops
 from lastword.llm import setjoin as sj
 
-NOT_BREAK = np.arange(256) != 10
+def between_breaks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the lines of all texts that have any byte."""
+    breaks = np.flatnonzero(data == 10)
+    low, high = np.sort(np.append(offsets[:-1], breaks + 1)), np.sort(np.append(breaks, offsets[1:]))
+    full = low < high
+    return low[full], high[full]
 
 
 def bounds(texts: pa.Array) -> tuple[np.ndarray, ...]:
@@ -34,7 +39,7 @@ def bounds(texts: pa.Array) -> tuple[np.ndarray, ...]:
     data, offsets = textops.flat(texts)
     data = textops.looked_up(data, textops.LOWER)
     starts, ends, _ = textops.spans(data, offsets, textops.NOT_SPACE)
-    low, high, _ = textops.spans(data, offsets, NOT_BREAK)
+    low, high = between_breaks(data, offsets)
     first = np.searchsorted(starts, np.append(low, len(data)))
     full = first[1:] > first[:-1]
     low, high = low[full], high[full]
@@ -156,6 +161,8 @@ def deduplicated(docs: DataFrame, counts: bool = False) -> DataFrame:
     drop = frames.written(marked(docs).select(F.col("__id").alias("__i"), F.col("__hash").alias("__h"), "__lines"),
                           "removed-lines")
     keyed = docs.select(*[F.col(f"`{c}`") for c in columns], *row_key())
+    # Places are unique there, so no hash table of a part grows with a key; texts need not be sorted.
+    drop = drop.hint("shuffle_hash")
     joined = (keyed.join(drop, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__hash") == F.col("__h")), "left")
               .select(*[F.col(f"`{c}`") for c in columns], "__lines"))
     schema = joined.drop("__lines").schema.add("__n_lines", "long").add("__n_removed", "long")

@@ -6,11 +6,12 @@ from pathlib import Path
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import REPEATED, frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from lastword.llm import frames, jaccard, lines, listblocks, repeats, setjoin, suffixes
+from lastword.llm import frames, jaccard, lines, listblocks, repeats, setjoin, suffixes, textops
 
 
 def tuples(df):
@@ -196,6 +197,41 @@ def test_empty_tables(empty):
     assert repeats.deduplicated(empty).count() == 0
 
 
+def test_lines_lie_between_breaks():
+    texts = ["", "a\n\nbc\n", None, "\n", "d", "\n\ne f\r\n \n", "", "g\n"]
+    data, offsets = textops.flat(pa.array(texts))
+    low, high = lines.between_breaks(data, offsets)
+    want = [textops.spans(data, offsets, np.arange(256) != 10)[k].tolist() for k in (0, 1)]
+    assert [low.tolist(), high.tolist()] == want
+
+
+def test_many_sets_of_one_block_are_searched_together(monkeypatch):
+    """The search takes no numpy calls for each set that asks."""
+    rng = np.random.default_rng(7)
+    base = [rng.choice(3000, 30, replace=False) for _ in range(400)]
+    sets = [np.unique(np.where(rng.random(30) < 0.12, rng.choice(3000, 30), base[rng.integers(400)])).astype(np.uint64)
+            for _ in range(2000)]
+    calls = []
+    unique = np.unique
+    monkeypatch.setattr(np, "unique", lambda *a, **b: calls.append(1) or unique(*a, **b))
+    every = np.ones(2000, bool)
+    found = listblocks.earlier(np.array([len(x) for x in sets]), np.concatenate(sets), every, every)
+    assert len(calls) < 20
+    held = np.zeros((2000, 3000), np.int32)
+    for i, x in enumerate(sets):
+        held[i, x.astype(int)] = 1
+    both, size = held @ held.T, held.sum(1)
+    similar = np.tril(100 * both >= 75 * (size[:, None] + size - both), -1)
+    assert 0 < found.sum() < 2000 and found.tolist() == similar.any(1).tolist()
+
+
+@pytest.mark.parametrize("spots, step", [(1, 1), (40, 3)])
+def test_earlier_in_small_steps(spots, step, monkeypatch):
+    monkeypatch.setattr(listblocks, "SPOTS", spots)
+    monkeypatch.setattr(listblocks, "STEP", step)
+    test_earlier_finds_every_set_with_a_similar_one_before_it()
+
+
 def resident():
     return int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) // 1024
 
