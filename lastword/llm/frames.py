@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -109,6 +110,26 @@ def release(spark: SparkSession) -> None:
     Python nor the driver's JVM holds any more, and else only when it happens to collect garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    trim_driver(spark)
+
+
+def trim_driver(spark: SparkSession) -> None:
+    """Gives memory outside the heap that the driver's JVM has freed back to the system: planning and compiling
+    many steps takes it in many threads, and what each thread's share keeps adds up.
+
+    It is the command System.trim_native_heap of the JVM. Its bean's class is closed to py4j, the interface is not.
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    try:
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods()
+                      if m.getName() == "invoke")
+        call = gateway.new_array(jvm.Object, 4)
+        call[0] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        call[1] = "systemTrimNativeHeap"
+        invoke.invoke(server, call)
+    except Py4JError:  # a JVM without this command, or not the GNU C library
+        pass
 
 
 def ranked_counts(counts: DataFrame, group: list[str], order: list[str]) -> DataFrame:

@@ -168,8 +168,10 @@ def fit(statistics_table: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS)
     flags = table.select("label", *[holds(r).cast("double").alias(f"r{i}") for i, r in enumerate(rules)])
     flags = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))],
                             outputCol="features").transform(flags).select("label", "features")
+    frames.release(table.sparkSession)  # either fit runs many jobs with no written table between them
     line = LogisticRegression(labelCol="label", elasticNetParam=1.0, regParam=LASSO, maxIter=60,
                               standardization=False).fit(flags)
+    frames.release(table.sparkSession)
     kept = tuple((r, float(w)) for r, w in zip(rules, line.coefficients.toArray()) if abs(w) > 1e-9)
     return Rules(kept, float(line.intercept))
 
